@@ -1,3 +1,10 @@
 """Registry snapshots as Spark DataFrames: load, validate, store, diff and match."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The few Python helpers travel inside the tasks, so executors need no installation.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,18 +1,22 @@
 """Normal form of object names, for comparing names across catalogs.
 
 Fold accents, lower, drop [..] and (..), turn standalone Roman numerals into digits,
-collapse whitespace, and drop closing punctuation. Only the folding has no built-in
-counterpart: ASCII names never need it, and only the others go through Python.
+collapse whitespace, and drop closing punctuation, all in built-in expressions.
+
+Folding is compatibility decomposition (NFKD) without combining marks. Both act on single
+characters, as reordering concerns only the marks that are dropped. So the character
+table of the Python runtime, read once on the driver, gives the fold as constants.
 """
 
 from __future__ import annotations
 
+import json
+import sys
 import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starledger.functions.text import column
 
@@ -51,17 +55,47 @@ _ANY_ROMAN = rf"(?<!{_WORD})[ivx]+(?!{_WORD})"
 _NON_ASCII = r"[^\x00-\x7F]"
 
 
-def _fold(name: str) -> str:
-    if name.isascii():
-        return name.lower()
-    decomposed = unicodedata.normalize("NFKD", name)
-    return "".join(ch for ch in decomposed if not unicodedata.combining(ch)).lower()
-
-
-@F.pandas_udf(T.StringType())
-def fold_accents(names: pd.Series) -> pd.Series:
-    """Compatibility-decompose, drop combining marks, lower."""
-    return names.map(_fold, na_action="ignore")
+@cache
+def _fold_tables() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose fold is at most one character, and those that expand."""
+    short, long = {}, {}
+    for code in range(0x80, sys.maxunicode + 1):
+        ch = chr(code)
+        kept = [d for d in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(d)]
+        folded = "".join(kept)
+        if folded != ch and not 0xD800 <= code <= 0xDFFF:
+            (short if len(folded) <= 1 else long)[ch] = folded
+    return short, long
+
+
+def _char_class(chars: list[str]) -> str:
+    """Regular expression class of the given characters, runs written as ranges."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
+def fold_accents(c: Column | str) -> Column:
+    """Drop accents and compatibility forms; ASCII text is passed through."""
+    text = column(c)
+    short, long = _fold_tables()
+    kept = [ch for ch, to in short.items() if to]
+    dropped = [ch for ch, to in short.items() if not to]
+    # translate() removes the characters that have no partner.
+    single = F.translate(text, "".join(kept + dropped), "".join(short[ch] for ch in kept))
+    table = F.from_json(F.lit(json.dumps(long)), "map<string,string>")
+    spelled = F.array_join(
+        F.transform(F.split(single, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
+    )
+    return (
+        F.when(~text.rlike(_NON_ASCII), text)
+        .when(text.rlike(_char_class(list(long))), spelled)
+        .otherwise(single)
+    )
 
 
 def _normalize_folded(folded: Column) -> Column:
@@ -75,23 +109,14 @@ def _normalize_folded(folded: Column) -> Column:
 
 
 def normalize_name(c: Column | str) -> Column:
-    """Normal form of a name column; null stays null.
-
-    The folding UDF sees every row here. On large inputs prefer `with_normal_name`,
-    which sends only non-ASCII names to Python.
-    """
-    return _normalize_folded(fold_accents(column(c)))
+    """Normal form of a name column; null stays null."""
+    return _normalize_folded(F.lower(fold_accents(c)))
 
 
 def with_normal_name(df: DataFrame, name: str, out: str) -> DataFrame:
-    """Add the normal form of `name` as `out`.
+    """Add the normal form of `name` as `out`, in two projections.
 
-    A UDF inside CASE WHEN still runs on every row, so the frame is split by content
-    instead: two narrow-filtered branches without a shuffle, and only the non-ASCII
-    branch pays for the trip to Python.
+    The first folds, so that the long chain of replacements has one plain input.
     """
-    text = column(name)
-    foreign = F.coalesce(text.rlike(_NON_ASCII), F.lit(False))
-    plain = df.where(~foreign).withColumn(out, _normalize_folded(F.lower(text)))
-    folded = df.where(foreign).withColumn(out, fold_accents(text))
-    return plain.unionByName(folded.withColumn(out, _normalize_folded(column(out))))
+    folded = df.withColumn(out, F.lower(fold_accents(name)))
+    return folded.withColumn(out, _normalize_folded(column(out)))

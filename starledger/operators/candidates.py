@@ -33,6 +33,15 @@ from starledger.sources.shared import materialize
 SHORT_NAME = 20
 
 
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    """Shuffle to the configured number of tasks.
+
+    Small rows that cost much CPU each would otherwise be coalesced by size into few.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *by)
+
+
 def _tokens(name: Column) -> Column:
     return F.split(name, " ")
 
@@ -85,13 +94,13 @@ def _mostly_shared(left: DataFrame, right: DataFrame, counts: DataFrame, thresho
     return probes.join(entries, "part").where(near).select("l", "r")
 
 
-def _leftovers(name: str, cuts: Iterable[int]) -> list[str]:
-    """Sorted tokens of `name` after dropping each number of letters in `cuts`.
+def _leftovers(name: str, cuts: Iterable[int]) -> dict[str, int]:
+    """Sorted tokens of `name` after dropping letters, with the fewest drops for each.
 
-    Dropping the space between two tokens joins them; as shared tokens may stand between
-    two others, any two can be joined.
+    `cuts` lists the numbers of drops to try. Dropping the space between two tokens joins
+    them; as shared tokens may stand between two others, any two can be joined.
     """
-    found: set[str] = set()
+    found: dict[str, int] = {}
     orders = {tuple(name.split(" "))}
     wanted = sorted(cuts)
     for joins in range(wanted[-1] + 1 if wanted else 0):
@@ -107,19 +116,24 @@ def _leftovers(name: str, cuts: Iterable[int]) -> list[str]:
                         pieces.append(text[start:i])
                         start = i + 1
                     left = "".join(pieces) + text[start:]
-                    found.add(" ".join(sorted(left.split())) if " " in left else left)
+                    if " " in left:
+                        left = " ".join(sorted(left.split()))
+                    found[left] = min(cut, found.get(left, cut))
         orders = {
-            tuple(t[:i] + (t[i] + t[j],) + t[i + 1 : j] + t[j + 1 :])
+            t[:i] + (t[i] + t[j],) + t[i + 1 : j] + t[j + 1 :]
             for t in orders
             for i in range(len(t))
             for j in range(i + 1, len(t))
         }
-    return list(found)
+    return found
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _leftover_lists(names: pd.Series, cuts: pd.Series) -> pd.Series:
-    return pd.Series([_leftovers(n, c) for n, c in zip(names, cuts)])
+    """Leftovers as "drops|text"; plain strings cross to the JVM much faster than structs."""
+    return pd.Series(
+        [[f"{n}|{left}" for left, n in _leftovers(*nc).items()] for nc in zip(names, cuts)]
+    )
 
 
 def _feasible(n: int, others: Iterable[int], threshold: float) -> list[tuple[int, int]]:
@@ -156,14 +170,18 @@ def _alike_short(left: DataFrame, right: DataFrame, lengths, threshold: float) -
         short = names.where(F.length("name") <= SHORT_NAME).withColumn(
             "_cuts", _by_length(cuts, F.array().cast("array<int>"))
         )
-        listed = short.where(F.size("_cuts") > 0).withColumn(
+        listed = _spread(short.where(F.size("_cuts") > 0), "name").withColumn(
             "_left", _leftover_lists("name", "_cuts")
         )
-        return listed.select(
-            F.col("name").alias(out), F.explode("_left").alias("_left")
-        ).select(out, F.xxhash64("_left").alias("_key"))
+        return listed.select(F.col("name").alias(out), F.explode("_left").alias("_left")).select(
+            out,
+            F.xxhash64(F.expr("substring(_left, instr(_left, '|') + 1)")).alias("_key"),
+            F.substring_index("_left", "|", 1).cast("int").alias(f"{out}_cut"),
+        )
 
-    return keyed(left, *sizes, "l").join(keyed(right, *sizes[::-1], "r"), "_key").select("l", "r")
+    pairs = keyed(left, *sizes, "l").join(keyed(right, *sizes[::-1], "r"), "_key")
+    bound = (F.length("l") + F.length("r")) * (1 - threshold) - 1e-9
+    return pairs.where(F.col("l_cut") + F.col("r_cut") < bound).select("l", "r")
 
 
 def _letter_pairs(name: Column) -> Column:
@@ -239,7 +257,7 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     ]
     if any(n > SHORT_NAME for side in lengths for n in side):
         pairs.append(_alike_long(left, right, lengths, threshold))
-    found = reduce(DataFrame.unionAll, pairs).distinct()
+    found = _spread(reduce(DataFrame.unionAll, pairs), "l", "r").distinct()
     scored = found.withColumn("score", token_set_score("l", "r"))
     return scored.where(F.col("score") > threshold)
 

@@ -69,12 +69,16 @@ def incoherent_designator(c: Column | str) -> Column:
     return F.coalesce(~text.contains(PLACEHOLDER) & (greek | modern), F.lit(False))
 
 
+def _known(category: str) -> Column:
+    value = column(category)
+    return value.isNotNull() & (value.cast("string") != "")
+
+
 def rare_values(
     df: DataFrame, category: str, below: int = MIN_FREQUENCY, count: str = "n"
 ) -> DataFrame:
     """Values of a column with fewer than `below` rows; null and '' are no values."""
-    known = df.where(column(category).isNotNull() & (column(category) != ""))
-    counted = known.groupBy(column(category)).agg(F.count(F.lit(1)).alias(count))
+    counted = df.where(_known(category)).groupBy(column(category)).agg(F.count(F.lit(1)).alias(count))
     return counted.where(F.col(count) < below)
 
 
@@ -99,7 +103,7 @@ def _cardinality_row(previous_count: int | None) -> Column:
     rows = F.col("_rows")
     drift = F.abs(rows - previous_count) / F.lit(max(previous_count, 1))
     passed = drift <= COUNT_TOLERANCE
-    text = F.format_string(f"%d rows after {previous_count}, drift %.2f%%%%", rows, drift * 100)
+    text = F.format_string(f"%d rows after {previous_count}, drift %.2f%%", rows, drift * 100)
     return _row("cardinality", passed, F.when(passed, 0).otherwise(1), text, text)
 
 
@@ -185,8 +189,7 @@ def _rare_value_check(df: DataFrame, category: str) -> DataFrame:
 
 def top_values(df: DataFrame, category: str, limit: int = TOP_VALUES) -> DataFrame:
     """The most frequent values with counts; ties go to the smaller value."""
-    known = df.where(column(category).isNotNull() & (column(category) != ""))
-    counted = known.groupBy(column(category).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.where(_known(category)).groupBy(column(category).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     return counted.orderBy(F.desc("n"), F.asc("value")).limit(limit)
 
 

@@ -131,16 +131,16 @@ def match_catalogs(
     """Match two catalogs and keep every row of both exactly once.
 
     Result: structs `l` and `r` (null where a side is absent), `match_source`,
-    `match_score` (name pass only), `match_confidence`, `source_presence`. Each pass is
-    written once to the shared folder, which cuts lineage between passes. No name pass
-    runs when `fuzzy_threshold` is None.
+    `match_score` (name pass only), `match_confidence`, `source_presence`. The inputs and
+    each pass are written once to the shared folder, which cuts lineage between passes. No
+    name pass runs when `fuzzy_threshold` is None.
     """
     no_score = F.lit(None)
     by_id = {"_k": F.col("id")}
     paired = materialize(
         pair_by_position(
-            _queue(_prepare(left), "l", by_id),
-            _queue(_prepare(right), "r", by_id),
+            _queue(materialize(_prepare(left), "match-left"), "l", by_id),
+            _queue(materialize(_prepare(right), "match-right"), "r", by_id),
             ["_k"],
             designators_unique,
         ),

@@ -58,6 +58,8 @@ REGISTRY_SCHEMA = T.StructType(
     ]
 )
 
+_END = "end of page"
+
 # Where a page states the expected total, in order of preference.
 TOTAL_PATHS = ("$.found", "$.total", "$.response.found")
 
@@ -72,8 +74,12 @@ def read_pages(spark: SparkSession, path: str, one_per_file: bool = True) -> Dat
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    body = F.try_parse_json("page")
-    return pages.select("page", body.alias("_body")).withColumn(
+    # Spark stops at the end of the first JSON value and ignores what follows. Inside a
+    # list with an end mark, anything after the page's own value breaks the list.
+    wrapped = F.try_parse_json(F.concat(F.lit("["), "page", F.lit(f',"{_END}"]')))
+    parts = pages.select("page", F.try_variant_get(wrapped, "$", "array<variant>").alias("_parts"))
+    whole = (F.size("_parts") == 2) & (F.try_variant_get(F.get("_parts", F.lit(1)), "$", "string") == _END)
+    return parts.select("page", F.when(whole, F.get("_parts", F.lit(0))).alias("_body")).withColumn(
         "_kind", F.schema_of_variant(F.try_variant_get("_body", "$.results", "variant"))
     )
 
