@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="starledger-")
-    spark.conf.set(CHECKPOINT_DIR, local)
-    return local
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"starledger-{application}-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
