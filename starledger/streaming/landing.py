@@ -31,7 +31,7 @@ def take_landed_pages(
         on_pages(batch.withColumnRenamed("value", "page"))
         taken.append(batch_id)
 
-    stream = spark.readStream.option("wholetext", one_per_file).text(landing)
+    stream = spark.readStream.text(landing, wholetext=one_per_file)
     query = (
         stream.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)

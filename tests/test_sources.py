@@ -1,0 +1,367 @@
+"""Pages, catalogs, landing log, snapshot store, weekly run, incremental landing."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from starledger.operators.contracts import ContractError, validate
+from starledger.plans.contracts import GP, REGISTRY, SATCAT
+from starledger.plans.weekly import weekly_ingest
+from starledger.sources import pages as pg
+from starledger.sources.catalogs import read_catalog, read_csv_text, unreadable_cells
+from starledger.sources.landing import freshness, source_status
+from starledger.sources.snapshots import (
+    append_changes,
+    list_snapshot_dates,
+    load_history,
+    load_snapshot,
+    previous_snapshot_date,
+    save_snapshot,
+    stored_schema_version,
+)
+from starledger.streaming.landing import take_landed_pages
+
+KEYS = {name: key for key, name in pg.FIELD_COLUMNS.items()}
+
+
+def record(documents=("ST/SG/SER.E/1",), **fields):
+    values = {KEYS[name.replace("_", " ")]: v for name, v in fields.items()}
+    return {"values": values | {pg.DOCUMENTS_KEY: documents, "unknown": 1}}
+
+
+def page_frame(spark, *bodies):
+    texts = [b if isinstance(b, str) else json.dumps(b) for b in bodies]
+    return spark.createDataFrame([(t,) for t in texts], "page string")
+
+
+def test_records_become_typed_rows(spark):
+    pages = page_frame(
+        spark,
+        {
+            "found": 2,
+            "results": [
+                record(
+                    ["a", "b"],
+                    International_Designator=" 2024-001A",
+                    Date_of_Launch="2024-03",
+                    Date_of_Decay="bad",
+                    UN_Registered=" t ",
+                    Status="active\t",
+                ),
+                {},
+            ],
+        },
+        {"found": 2},
+    )
+    df = pg.load_registry(pages)
+    assert df.schema.names == REGISTRY.columns
+    assert [f.dataType for f in df.schema] == [f.dtype for f in REGISTRY.fields]
+    first, second = sorted(df.collect(), key=lambda r: r[0], reverse=True)
+    assert first["International Designator"] == "2024-001A"
+    assert first["Date of Launch"] == dt.date(2024, 3, 1)
+    assert first["Date of Decay"] is None
+    assert first["UN Registered"] is True
+    assert (first["Status"], first["Registration Documents"]) == ("active", "a, b")
+    assert second["Status"] == "" and second["Date of Launch"] is None
+
+
+@pytest.mark.parametrize("value", [5, True, None, ["x"], {"y": 1}])
+def test_values_that_are_not_text_count_as_missing(spark, value):
+    row = pg.page_records(page_frame(spark, {"results": [record(Status=value)]})).first()
+    assert row["Status"] == ""
+
+
+@pytest.mark.parametrize(("docs", "text"), [(None, ""), ("x", ""), ([], ""), (["x"], "x"), (["x", "y"], "x, y")])
+def test_documents(spark, docs, text):
+    row = pg.page_records(page_frame(spark, {"results": [record(docs)]})).first()
+    assert row["Registration Documents"] == text
+
+
+@pytest.mark.parametrize("docs", [["x", 5], [None]])
+def test_documents_that_are_not_text_fail(spark, docs):
+    with pytest.raises(PySparkException, match="document"):
+        pg.page_records(page_frame(spark, {"results": [record(docs)]})).collect()
+
+
+def test_no_records_keep_the_schema(spark):
+    df = pg.load_registry(page_frame(spark, {"found": 0, "results": []}))
+    assert df.count() == 0 and df.schema.names == REGISTRY.columns
+
+
+BAD_PAGES = {
+    "[1]": "not an object",
+    "{x": "not JSON",
+    "": "not JSON",
+    '{"results": {}}': "results is not a list",
+    '{"results": null}': "results is not a list",
+    '{"results": [1]}': "a record is not an object",
+    '{"results": []} {"results": []}': "not JSON",
+    '{"results": []}, {"results": []}': "not JSON",
+    '{"results": []}] [': "not JSON",
+}
+
+
+def test_quarantine(spark):
+    good = '{"results": []}'
+    found = {r.page: r.fault for r in pg.bad_pages(page_frame(spark, good, *BAD_PAGES)).collect()}
+    assert found == BAD_PAGES
+    for body in BAD_PAGES:
+        with pytest.raises(PySparkException, match="unusable page"):
+            pg.page_records(page_frame(spark, good, body)).collect()
+
+
+@pytest.mark.parametrize(
+    ("bodies", "problem"),
+    [
+        ([{"found": 1, "results": [{}]}], None),
+        ([{"total": 1, "results": [{}]}], None),
+        ([{"response": {"found": 1}, "results": [{}]}], None),
+        ([{"found": 2, "total": 9, "results": [{}]}, {"results": [{}]}], None),
+        ([{"results": [{}]}], "no total"),
+        ([{"found": 3, "results": []}], "no records"),
+        ([{"found": 0, "results": []}], None),
+        ([{"found": 1, "results": [{}, {}]}], None),
+        ([{"found": 1, "results": [{}, {}]}, {"results": [{}, {}]}], "more records"),
+        ([{"found": -1, "results": []}], "negative"),
+    ],
+)
+def test_completeness(spark, bodies, problem):
+    pages = page_frame(spark, *bodies)
+    if problem is None:
+        assert pg.check_completeness(pages).problem is None
+    else:
+        with pytest.raises(ValueError, match=problem):
+            pg.check_completeness(pages)
+
+
+def test_pages_from_files_and_lines(spark, tmp_path):
+    body = json.dumps({"found": 1, "results": [record(Status="a")]}, indent=1)
+    (tmp_path / "files").mkdir()
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "files" / "1.json").write_text(body)
+    line = body.replace("\n", "")
+    (tmp_path / "lines" / "1.jsonl").write_text(f"{line}\n{line}\n")
+    files = pg.read_pages(spark, str(tmp_path / "files"))
+    lines = pg.read_pages(spark, str(tmp_path / "lines"), one_per_file=False)
+    assert pg.page_records(files).count() == 1
+    assert pg.page_records(lines).count() == 2
+
+
+SAT_ROWS = """SL-1 R/B,1957-001A,1,R/B,D,CIS,1957-10-04,TYMSC,1957-12-01,96.19,65.10,938,214,20.4200,,EA,IMP
+SPUTNIK 1,1957-001B,2,PAY,D,CIS,1957-10-04,TYMSC,,96.10,65.00,1080,0,,,EA,ORB
+"""
+
+
+def csv_file(tmp_path, text, name="a.csv"):
+    (tmp_path / name).write_text(text)
+    return str(tmp_path)
+
+
+def test_satcat_csv(spark, tmp_path):
+    path = csv_file(tmp_path, ",".join(SATCAT.columns) + "\n" + SAT_ROWS)
+    df = validate(read_catalog(spark, path, SATCAT.schema), SATCAT)
+    second = df.where("NORAD_CAT_ID = 2").first()
+    assert second.LAUNCH_DATE == dt.date(1957, 10, 4)
+    assert second.DECAY_DATE is None and second.RCS is None and second.PERIGEE == 0
+
+
+def test_gp_csv_keeps_the_epoch_as_text(spark, tmp_path):
+    row = "CALSPHERE 1,1964-063C,2026-04-24T09:14:32.367840,13.76,.0028,90.2,70.5,93.2,5.6,0,U,900,999,6402,.0006,6.08E-6,0"
+    df = read_catalog(spark, csv_file(tmp_path, ",".join(GP.columns) + "\n" + row + "\n"), GP.schema)
+    first = validate(df, GP).first()
+    assert first.EPOCH == "2026-04-24T09:14:32.367840" and first.MEAN_MOTION_DOT == 6.08e-06
+
+
+def test_csv_columns_follow_the_header(spark, tmp_path):
+    path = csv_file(tmp_path, "NORAD_CAT_ID,OBJECT_NAME,MORE\n7,X,y\n")
+    df = read_catalog(spark, path, SATCAT.schema)
+    assert df.columns == ["NORAD_CAT_ID", "OBJECT_NAME", "MORE"]
+    assert (df.first().NORAD_CAT_ID, df.first().OBJECT_NAME) == (7, "X")
+    with pytest.raises(ContractError, match="MORE: unexpected"):
+        validate(df, SATCAT)
+
+
+def test_csv_files_must_agree_on_the_header(spark, tmp_path):
+    csv_file(tmp_path, "a,b\n1,2\n", "1.csv")
+    path = csv_file(tmp_path, "b,a\n1,2\n", "2.csv")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_csv_text(spark, path).collect()
+
+
+def test_unreadable_cells_fail_and_can_be_listed(spark, tmp_path):
+    path = csv_file(tmp_path, "NORAD_CAT_ID,LAUNCH_DATE\n7,2020-01-01\nx,2020-13-01\n,\n")
+    listed = unreadable_cells(read_csv_text(spark, path), SATCAT.schema).collect()
+    assert [(r.column_name, r.value) for r in listed] == [("NORAD_CAT_ID", "x"), ("LAUNCH_DATE", "2020-13-01")]
+    with pytest.raises(PySparkException, match="NORAD_CAT_ID: not a bigint: x"):
+        read_catalog(spark, path, SATCAT.schema).collect()
+
+
+def test_empty_csv_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="header"):
+        read_catalog(spark, csv_file(tmp_path, ""), GP.schema)
+
+
+def test_source_status(spark):
+    at = dt.datetime
+    landed = spark.createDataFrame(
+        [("gp", "b1", at(2026, 4, 1), 10), ("gp", "b2", at(2026, 4, 2), 20), ("satcat", "s1", at(2026, 4, 1), 5)],
+        "source string, batch_id string, landed_at timestamp, rows long",
+    )
+    committed = spark.createDataFrame(
+        [("gp", "b1"), ("satcat", "s1"), ("satcat", "s1")], "source string, batch_id string"
+    )
+    found = {r.source: r for r in source_status(landed, committed).collect()}
+    assert (found["gp"].status, found["gp"].row_count, found["gp"].message) == ("fresh_snapshot", 20, None)
+    assert (found["satcat"].status, found["satcat"].row_count) == ("already_current", 0)
+    assert "s1" in found["satcat"].message
+    skip = {r.source: r.skip for r in freshness(landed, "2026-04-02 01:59:59").collect()}
+    assert skip == {"gp": True, "satcat": False}
+    assert not freshness(landed, "2026-04-02 02:00:00").where("source = 'gp'").first().skip
+
+
+def small(spark, n=2):
+    return spark.range(n).selectExpr(
+        "concat('2024-00', id, 'A') as designator", "date'2024-01-01' as launch", "id = 0 as flag"
+    )
+
+
+D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)
+
+
+def test_snapshot_round_trip(spark, tmp_path):
+    base, df = str(tmp_path), small(spark)
+    path = save_snapshot(df, D1, base, version="1.2.0")
+    assert path.endswith("snapshot_date=2024-01-01")
+    back = load_snapshot(spark, D1, base, version="1.0.0")
+    assert back.schema.names == df.schema.names
+    assert sorted(back.collect()) == sorted(df.collect())
+    assert stored_schema_version(back) == "1.2.0"
+    with pytest.raises(ValueError, match="schema version"):
+        load_snapshot(spark, D1, base, version="2.0.0")
+    names = [p.name for p in (tmp_path / "snapshot_date=2024-01-01").glob("part-*")]
+    assert names and all(".zstd." in n for n in names)
+
+
+def test_snapshot_refusals(spark, tmp_path):
+    base = str(tmp_path)
+    with pytest.raises(ValueError, match="empty"):
+        save_snapshot(small(spark, 0), D1, base)
+    assert not (tmp_path / "snapshot_date=2024-01-01").exists()
+    with pytest.raises(FileNotFoundError):
+        save_snapshot(small(spark), D1, base + "/none")
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(NotADirectoryError):
+        save_snapshot(small(spark), D1, base + "/file")
+    save_snapshot(small(spark), D1, base)
+    with pytest.raises(FileExistsError):
+        save_snapshot(small(spark, 5), D1, base)
+    assert load_snapshot(spark, D1, base).count() == 2
+    save_snapshot(small(spark, 5), D1, base, overwrite=True)
+    assert load_snapshot(spark, D1, base).count() == 5
+    with pytest.raises(FileNotFoundError):
+        load_snapshot(spark, D2, base)
+
+
+def test_failed_write_leaves_the_old_snapshot(spark, tmp_path):
+    base = str(tmp_path)
+    broken = small(spark, 50).withColumn(
+        "flag", F.when(F.col("designator") == "2024-0040A", F.raise_error(F.lit("lost"))).otherwise(True)
+    )
+    with pytest.raises(PySparkException, match="lost"):
+        save_snapshot(broken, D1, base)
+    assert list_snapshot_dates(spark, base) == []
+
+
+def test_dates_are_listed_in_order_without_noise(spark, tmp_path):
+    base = str(tmp_path)
+    for day in (D3, D1, D2):
+        save_snapshot(small(spark), day, base)
+    for noise in ("not_a_partition", "snapshot_date=garbage", "snapshot_date=2024-13-45", "snapshot_date=2024-05-05"):
+        (tmp_path / noise).mkdir()
+    (tmp_path / "snapshot_date=garbage" / "part-0.parquet").write_text("x")
+    assert list_snapshot_dates(spark, base) == [D1, D2, D3]
+    assert previous_snapshot_date(spark, base, D3) == D2
+    assert previous_snapshot_date(spark, base, D1) is None
+    history = load_history(spark, base)
+    assert history.count() == 6
+    assert dict(history.dtypes)["snapshot_date"] == "date"
+    pruned = history.where("snapshot_date > date'2024-02-15'")
+    assert "PartitionFilters: [isnotnull(snapshot_date" in pruned._jdf.queryExecution().toString()
+    assert len(pruned.inputFiles()) and pruned.count() == 2
+
+
+def test_snapshot_date_may_stay_in_the_files(spark, tmp_path):
+    df = small(spark).withColumn("snapshot_date", F.lit(D1))
+    save_snapshot(df, D1, str(tmp_path))
+    assert load_snapshot(spark, D1, str(tmp_path)).columns == df.columns
+    history = load_history(spark, str(tmp_path))
+    assert sorted(history.columns) == sorted(df.columns)
+    assert history.select("snapshot_date").distinct().collect() == [(D1,)]
+
+
+def test_changelog_is_append_only(spark, tmp_path):
+    append_changes(small(spark), D1, str(tmp_path))
+    with pytest.raises(FileExistsError):
+        append_changes(small(spark), D1, str(tmp_path))
+
+
+def weekly_pages(spark, statuses, found=None):
+    results = [
+        record(
+            International_Designator=f"2024-00{i}A",
+            Status=s,
+            State_of_Registry="USA",
+            Date_of_Launch="2024-01-01",
+        )
+        for i, s in enumerate(statuses)
+        if s
+    ]
+    return page_frame(spark, {"found": found or len(results), "results": results})
+
+
+def test_weekly_run(spark, tmp_path):
+    base = str(tmp_path)
+    first = weekly_ingest(weekly_pages(spark, ["a", "b", "c"]), D1, base, as_of_year=2026)
+    assert (first.rows, first.diff) == (3, None)
+    assert first.expectations.where("not passed").count() == 0
+    second = weekly_ingest(weekly_pages(spark, ["a", "x", None, "d"]), D2, base, as_of_year=2026)
+    assert tuple(second.diff.counts.first()) == (1, 1, 1, 1, False)
+    change = second.diff.changes.first()
+    assert tuple(change) == ("2024-001A", "Status", "b", "x")
+    with pytest.raises(FileExistsError):
+        weekly_ingest(weekly_pages(spark, ["a"]), D2, base)
+    again = weekly_ingest(weekly_pages(spark, ["a", "b", "c"]), D2, base, overwrite=True)
+    assert again.diff.counts.first().is_empty
+
+
+def test_weekly_run_stops_on_a_broken_contract(spark, tmp_path):
+    bad = page_frame(spark, {"found": 1, "results": [record(International_Designator="nonsense")]})
+    with pytest.raises(ContractError, match="International Designator"):
+        weekly_ingest(bad, D1, str(tmp_path))
+    with pytest.raises(ValueError, match="incomplete"):
+        weekly_ingest(page_frame(spark, {"found": 5, "results": []}), D1, str(tmp_path))
+    assert list_snapshot_dates(spark, str(tmp_path)) == []
+
+
+def test_landed_pages_are_taken_once(spark, tmp_path):
+    landing, state = tmp_path / "landing", str(tmp_path / "state")
+    landing.mkdir()
+    seen = []
+
+    def take(pages):
+        seen.append(pg.page_records(pages).count())
+
+    def land(name):
+        body = {"found": 1, "results": [record(Status="a")]}
+        (landing / name).write_text(json.dumps(body, indent=1))
+
+    land("1.json")
+    land("2.json")
+    assert take_landed_pages(spark, str(landing), state, take) == "fresh_snapshot"
+    assert take_landed_pages(spark, str(landing), state, take) == "already_current"
+    land("3.json")
+    assert take_landed_pages(spark, str(landing), state, take) == "fresh_snapshot"
+    assert seen == [2, 1]
