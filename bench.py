@@ -53,6 +53,8 @@ def session() -> SparkSession:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("starledger-bench")
         .config("spark.sql.shuffle.partitions", CPUS)
+        # Small local tables: keep every core busy after a shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")

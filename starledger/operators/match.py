@@ -2,7 +2,7 @@
 
 Each pass takes the rows earlier passes left over. Rows are paired one to one by position
 within equal keys, so thousands of fragments with one name and launch date pair in linear
-work. A row travels whole through the passes: no pass joins back to the inputs.
+work. Only ids and keys travel through the passes.
 """
 
 from __future__ import annotations
@@ -58,18 +58,30 @@ def source_presence(in_left: Column, in_right: Column) -> Column:
     )
 
 
-def _prepare(side: Side) -> DataFrame:
-    """One struct `row` per input row, with what the passes need beside it."""
+KEYS = ("id", "designator", "name", "day", "bucket", "tie")
+
+
+def _prepare(side: Side, label: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with an id, and the few values per row that the passes work on.
+
+    Both come from one written table, which also makes the ids final.
+    """
     named = with_normal_name(side.df, side.name, "_name")
     ties = [column(side.designator), *map(column, side.tie)]
-    return named.select(
-        F.struct(*map(column, side.df.columns)).alias("row"),
-        column(side.designator).alias("id"),
-        F.nullif("_name", F.lit("")).alias("name"),
-        column(side.launch).alias("day"),
-        digest_bucket(*ties).alias("bucket"),
-        F.struct(*ties).alias("tie"),
+    row = F.struct(*map(column, side.df.columns))
+    written = materialize(
+        named.select(
+            F.monotonically_increasing_id().alias("id"),
+            row.alias("row"),
+            column(side.designator).alias("designator"),
+            F.nullif("_name", F.lit("")).alias("name"),
+            column(side.launch).alias("day"),
+            digest_bucket(*ties).alias("bucket"),
+            F.struct(*ties, F.xxhash64(row).alias("_row_hash")).alias("tie"),
+        ),
+        label,
     )
+    return written.select("id", "row"), written.select(*KEYS)
 
 
 def _queue(df: DataFrame, side: str, keys: dict[str, Column], by_day: bool = False) -> Queue:
@@ -78,19 +90,19 @@ def _queue(df: DataFrame, side: str, keys: dict[str, Column], by_day: bool = Fal
     bucket = F.col(f"{side}.bucket")
     if by_day:
         bucket = F.concat_ws("|", F.col(f"{side}.day").cast("string"), bucket)
-    return Queue(own, bucket, (F.col(f"{side}.tie"), F.col(f"{side}.row")))
+    return Queue(own, bucket, (F.col(f"{side}.tie"), F.col(f"{side}.id")))
 
 
 def _left_over(paired: DataFrame, side: str, other: str) -> DataFrame:
     """Rows of one side that a pass did not pair."""
     rest = paired.where(F.col(side).isNotNull() & F.col(other).isNull())
-    return rest.select(*[F.col(f"{side}.{c}") for c in ("row", "id", "name", "day", "bucket", "tie")])
+    return rest.select(*[F.col(f"{side}.{c}") for c in KEYS])
 
 
 def _matched(paired: DataFrame, source: str, score: Column) -> DataFrame:
     return paired.where("l is not null and r is not null").select(
-        F.col("l.row").alias("l"),
-        F.col("r.row").alias("r"),
+        F.col("l.id").alias("l_id"),
+        F.col("r.id").alias("r_id"),
         F.lit(source).alias("match_source"),
         score.cast("double").alias("match_score"),
     )
@@ -110,11 +122,9 @@ def _pair_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFram
     best = materialize(mutual_best(similar_names(*names, threshold)), "best-names")
     pair = F.col("pair")
     l_rows = keyed[0].join(
-        best.select(F.col("l").alias("_key"), F.col("l").alias("pair"), "score"), "_key", "left"
-    )
-    r_rows = keyed[1].join(
-        best.select(F.col("r").alias("_key"), F.col("l").alias("pair")), "_key", "left"
+        best.select(F.col("l").alias("_key"), F.col("l").alias("pair"), "score"), "_key"
     )
+    r_rows = keyed[1].join(best.select(F.col("r").alias("_key"), F.col("l").alias("pair")), "_key")
     return pair_by_position(
         _queue(l_rows.drop("_key"), "l", {"_k": pair}, by_day=True),
         _queue(r_rows.drop("_key"), "r", {"_k": pair}, by_day=True),
@@ -122,27 +132,15 @@ def _pair_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFram
     )
 
 
-def match_catalogs(
-    left: Side,
-    right: Side,
-    fuzzy_threshold: float | None = FUZZY_THRESHOLD,
-    designators_unique: bool = False,
+def _links(
+    left: DataFrame, right: DataFrame, fuzzy_threshold: float | None, designators_unique: bool
 ) -> DataFrame:
-    """Match two catalogs and keep every row of both exactly once.
-
-    Result: structs `l` and `r` (null where a side is absent), `match_source`,
-    `match_score` (name pass only), `match_confidence`, `source_presence`. The inputs and
-    each pass are written once to the shared folder, which cuts lineage between passes. No
-    name pass runs when `fuzzy_threshold` is None.
-    """
+    """Matched row ids (l_id, r_id, match_source, match_score) of all passes, written once."""
     no_score = F.lit(None)
-    by_id = {"_k": F.col("id")}
+    by_id = {"_k": F.col("designator")}
     paired = materialize(
         pair_by_position(
-            _queue(materialize(_prepare(left), "match-left"), "l", by_id),
-            _queue(materialize(_prepare(right), "match-right"), "r", by_id),
-            ["_k"],
-            designators_unique,
+            _queue(left, "l", by_id), _queue(right, "r", by_id), ["_k"], designators_unique
         ),
         "match-designator",
     )
@@ -160,20 +158,45 @@ def match_catalogs(
         found.append(_matched(paired, NAME_DATE, no_score))
         rest = (_left_over(paired, "l", "r"), _left_over(paired, "r", "l"))
     if fuzzy_threshold is not None:
-        paired = materialize(_pair_names(*rest, fuzzy_threshold), "match-name")
+        paired = _pair_names(*rest, fuzzy_threshold)
         found.append(_matched(paired, FUZZY, F.col("l.score")))
-        rest = (_left_over(paired, "l", "r"), _left_over(paired, "r", "l"))
-    for rows, side, source in zip(rest, "lr", (UNMATCHED_LEFT, UNMATCHED_RIGHT)):
-        found.append(
-            rows.select(
-                F.col("row").alias(side),
-                F.lit(source).alias("match_source"),
-                no_score.cast("double").alias("match_score"),
-            )
-        )
-    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    return materialize(reduce(DataFrame.unionAll, found), "match-links")
+
+
+def match_catalogs(
+    left: Side,
+    right: Side,
+    fuzzy_threshold: float | None = FUZZY_THRESHOLD,
+    designators_unique: bool = False,
+) -> DataFrame:
+    """Match two catalogs and keep every row of both exactly once.
+
+    Result: structs `l` and `r` (null where a side is absent), `match_source`,
+    `match_score` (name pass only), `match_confidence`, `source_presence`. The passes work
+    on row ids and keys; whole rows are written once and joined once at the end. Each pass
+    is written to the shared folder, which cuts lineage. No name pass runs when
+    `fuzzy_threshold` is None.
+    """
+    l_rows, l_keys = _prepare(left, "match-left")
+    r_rows, r_keys = _prepare(right, "match-right")
+    links = _links(l_keys, r_keys, fuzzy_threshold, designators_unique)
+
+    l_rows = l_rows.select(F.col("id").alias("l_id"), F.col("row").alias("l"))
+    r_rows = r_rows.select(F.col("id").alias("r_id"), F.col("row").alias("r"))
+    both = l_rows.join(links, "l_id").join(r_rows, "r_id")
+    l_only = l_rows.join(links.select("l_id"), "l_id", "left_anti")
+    r_only = r_rows.join(links.select("r_id"), "r_id", "left_anti")
+    parts = [
+        both.select("l", "r", "match_source", "match_score"),
+        l_only.select("l", F.lit(UNMATCHED_LEFT).alias("match_source")),
+        r_only.select("r", F.lit(UNMATCHED_RIGHT).alias("match_source")),
+    ]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return every.select(
-        "*",
+        "l",
+        "r",
+        "match_source",
+        "match_score",
         match_confidence(F.col("match_source"), F.col("match_score")).alias("match_confidence"),
         source_presence(F.col("l").isNotNull(), F.col("r").isNotNull()).alias("source_presence"),
     )
