@@ -90,7 +90,8 @@ def _queue(df: DataFrame, side: str, keys: dict[str, Column], by_day: bool = Fal
     bucket = F.col(f"{side}.bucket")
     if by_day:
         bucket = F.concat_ws("|", F.col(f"{side}.day").cast("string"), bucket)
-    return Queue(own, bucket, (F.col(f"{side}.tie"), F.col(f"{side}.id")))
+    row_id = F.col(f"{side}.id")
+    return Queue(own, bucket, (F.col(f"{side}.tie"), row_id), row_id)
 
 
 def _left_over(paired: DataFrame, side: str, other: str) -> DataFrame:

@@ -5,14 +5,15 @@ first row of the other side's group, and so on. This takes as many rows as the g
 where a join on the key alone would build every pair.
 
 Positions are found without gathering a group in one task: the group is split into
-fixed buckets by a digest of its rows, numbered inside each bucket, and shifted by the
-sizes of the buckets before.
+buckets by a digest of its rows, numbered inside each bucket, and shifted by the sizes of
+the buckets before. Copies share a digest, so a bucket that is still too large is split
+once more by row id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 # Fixed value: leading hex digits of the digest, so at most 256 buckets in a group.
 BUCKET_DIGITS = 2
 
+# Rows that one task numbers without trouble.
+BUCKET_ROWS = 1_000_000
+
 
 def digest_bucket(*parts: Column) -> Column:
     """Bucket of a row from the MD5 digest of its identifying values."""
@@ -27,49 +31,64 @@ def digest_bucket(*parts: Column) -> Column:
     return F.substring(F.md5(text.cast("binary")), 1, BUCKET_DIGITS)
 
 
+@dataclass(frozen=True)
+class Queue:
+    """One side of a pairing: rows with the group columns, and the order in a group.
+
+    `row_id` is an integer that differs between copies of a row and is final, that is,
+    read from a written table.
+    """
+
+    df: DataFrame
+    bucket: Column
+    order: tuple[Column, ...]
+    row_id: Column
+
+
 def with_position(
-    df: DataFrame, group: Sequence[str], bucket: Column, order: Sequence[Column], out: str
+    queue: Queue, group: Sequence[str], out: str, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """Add the 1-based position of each row in its group, by (bucket, order).
+    """Add the 1-based position of each row in its group.
 
-    `bucket` must split a group finely enough for one task to sort a bucket. Only groups
-    that span several buckets take part in the shift.
+    Rows stand in the order of their buckets, and in a bucket in the queue's order; a
+    bucket of more than `bucket_rows` rows comes in several runs. Only groups that span
+    several cells take part in the shift.
     """
-    cell = [*group, "_bucket"]
-    bucketed = df.withColumn("_bucket", bucket)
+    bucketed = queue.df.withColumn("_bucket", queue.bucket)
+    sizes = bucketed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # At most one row per `bucket_rows` input rows, so a broadcast stays small.
+    large = sizes.where(F.col("_n") > bucket_rows).select(
+        *group, "_bucket", F.ceil(F.col("_n") / bucket_rows).alias("_runs")
+    )
+    run = F.coalesce(F.pmod(queue.row_id, F.col("_runs")), F.lit(0)).alias("_run")
+    placed = bucketed.join(F.broadcast(large), [*group, "_bucket"], "left").select(
+        *bucketed.columns, run
+    )
+    cell = [*group, "_bucket", "_run"]
     before = (
-        bucketed.groupBy(*cell)
+        placed.groupBy(*cell)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn(
             "_before",
             F.sum("_n").over(
                 Window.partitionBy(*group)
-                .orderBy("_bucket")
+                .orderBy("_bucket", "_run")
                 .rowsBetween(Window.unboundedPreceding, -1)
             ),
         )
         .where("_before is not null")
         .drop("_n")
     )
-    numbered = bucketed.withColumn(
-        "_at", F.row_number().over(Window.partitionBy(*cell).orderBy(*order))
+    numbered = placed.withColumn(
+        "_at", F.row_number().over(Window.partitionBy(*cell).orderBy(*queue.order))
     )
     return (
         numbered.join(before, cell, "left")
         .withColumn(out, F.col("_at") + F.coalesce("_before", F.lit(0)))
-        .drop("_at", "_before", "_bucket")
+        .drop("_at", "_before", "_bucket", "_run")
     )
 
 
-@dataclass(frozen=True)
-class Queue:
-    """One side of a pairing: rows with the group columns, and the order in a group."""
-
-    df: DataFrame
-    bucket: Column
-    order: tuple[Column, ...]
-
-
 def pair_by_position(
     left: Queue, right: Queue, group: Sequence[str], groups_unique: bool = False
 ) -> DataFrame:
@@ -86,8 +105,7 @@ def pair_by_position(
     if not groups_unique:
         keys.append("_pos")
         sides = [
-            with_position(df, group, q.bucket, q.order, "_pos")
-            for df, q in zip(sides, (left, right))
+            with_position(replace(q, df=df), group, "_pos") for df, q in zip(sides, (left, right))
         ]
     joined = sides[0].join(sides[1], keys, "full_outer").drop("_pos")
     for queue in (left, right):

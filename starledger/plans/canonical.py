@@ -13,6 +13,7 @@ from starledger.functions.text import column
 from starledger.operators.match import FUZZY_THRESHOLD, Side, match_catalogs
 from starledger.operators.ranking import Queue, digest_bucket, pair_by_position
 from starledger.plans.contracts import CANONICAL
+from starledger.sources.shared import materialize
 
 CATALOG_KEY = "NORAD_CAT_ID"
 
@@ -33,8 +34,17 @@ def join_catalogs(gp: DataFrame, satcat: DataFrame, keys_unique: bool = False) -
     """
 
     def queue(df: DataFrame, side: str) -> Queue:
-        own = df.select(column(CATALOG_KEY), F.struct(*map(column, df.columns)).alias(side))
-        return Queue(own, digest_bucket(F.col(f"{side}.OBJECT_ID")), (F.col(side),))
+        own = df.select(
+            column(CATALOG_KEY),
+            F.struct(*map(column, df.columns)).alias(side),
+            F.lit(0).alias(f"{side}_id"),
+        )
+        if not keys_unique:
+            numbered = own.withColumn(f"{side}_id", F.monotonically_increasing_id())
+            own = materialize(numbered, f"catalog-{side}")
+        row_id = F.col(f"{side}_id")
+        bucket = digest_bucket(F.xxhash64(side))
+        return Queue(own, bucket, (F.col(side), row_id), row_id)
 
     both = pair_by_position(queue(gp, "g"), queue(satcat, "s"), [CATALOG_KEY], keys_unique)
     in_both = F.col("g").isNotNull() & F.col("s").isNotNull()

@@ -26,16 +26,25 @@ from starledger.plans.contracts import CANONICAL, GP, REGISTRY, SATCAT
 D = dt.date
 
 
-def test_positions_run_through_a_group(spark):
+@pytest.mark.parametrize("bucket_rows", [1_000_000, 5])
+def test_positions_run_through_a_group(spark, bucket_rows):
     df = spark.range(5000).select(
         F.when(F.col("id") < 4000, "hot").otherwise(F.col("id").cast("string")).alias("g"), "id"
     )
-    numbered = with_position(df, ["g"], digest_bucket(F.col("id")), [F.col("id")], "pos")
+    queue = Queue(df, digest_bucket(F.col("id")), (F.col("id"),), F.col("id"))
+    numbered = with_position(queue, ["g"], "pos", bucket_rows)
     hot = sorted(r.pos for r in numbered.where("g = 'hot'").collect())
     assert hot == list(range(1, 4001))
     assert {r.pos for r in numbered.where("g <> 'hot'").collect()} == {1}
 
 
+def test_copies_are_numbered_in_runs(spark):
+    df = spark.range(1000).select(F.lit("hot").alias("g"), F.lit("copy").alias("v"), "id")
+    queue = Queue(df, digest_bucket(F.col("v")), (F.col("v"),), F.col("id"))
+    numbered = with_position(queue, ["g"], "pos", bucket_rows=100)
+    assert sorted(r.pos for r in numbered.collect()) == list(range(1, 1001))
+
+
 @pytest.mark.parametrize("unique", [True, False])
 def test_pairing_keeps_every_row_once(spark, unique):
     step = 1 if unique else 7
@@ -43,7 +52,7 @@ def test_pairing_keeps_every_row_once(spark, unique):
     right = spark.range(100, 300).select((F.col("id") / step).cast("int").alias("g"), F.col("id").alias("r"))
     nulls = [df.limit(3).withColumn("g", F.lit(None).cast("int")) for df in (left, right)]
     sides = [
-        Queue(df.unionByName(n), digest_bucket(F.col(c)), (F.col(c),))
+        Queue(df.unionByName(n), digest_bucket(F.col(c)), (F.col(c),), F.col(c))
         for df, n, c in ((left, nulls[0], "l"), (right, nulls[1], "r"))
     ]
     rows = pair_by_position(*sides, ["g"], unique).collect()
