@@ -5,8 +5,8 @@ inlining an array, not by one join per column.
 
 Rows with a null key equal nothing: they are always added or removed. They skip the join,
 so a large share of null keys cannot pile up in one task. A key that repeats pairs every
-previous row with every current row; such rows are first reduced to distinct versions
-with a count, so copies of a row meet once and the pairs are counted, not built.
+previous row with every current row. Those pairs are counted, not built: values are
+counted per key and column first, and only distinct values of a column meet.
 """
 
 from __future__ import annotations
@@ -31,12 +31,14 @@ class SnapshotDiff:
     `added` has the current columns, `removed` the previous ones. `weighted_changes` has
     the key, `column_name`, `old_value`, `new_value` (text, '' as null) and `n_pairs`, the
     number of row pairs with that change: 1 wherever the key is unique on both sides.
+    `changed_keys` has the key and `n_pairs` in all, for keys with a change.
     """
 
     key: tuple[str, ...]
     added: DataFrame
     removed: DataFrame
     weighted_changes: DataFrame
+    changed_keys: DataFrame
     keys_unique: bool
 
     @cached_property
@@ -50,33 +52,16 @@ class SnapshotDiff:
 
     @cached_property
     def counts(self) -> DataFrame:
-        """n_added, n_removed, n_modified_rows, n_modified_changes, is_empty: one row.
-
-        The three parts are summed per changed key first, so keys are counted without a
-        distinct aggregate; all unchanged parts fall together in the partial step.
-        """
-        zero = F.lit(0).cast("bigint")
-        one = F.lit(1).cast("bigint")
-        no_key = F.lit(None)
-        changed = F.struct(*map(column, self.key))
-
-        def part(df: DataFrame, a: Column, r: Column, c: Column, k: Column) -> DataFrame:
-            return df.select(
-                k.cast(changed_type).alias("k"), a.alias("a"), r.alias("r"), c.alias("c")
-            )
-
-        changed_type = self.weighted_changes.select(changed.alias("k")).schema["k"].dataType
+        """n_added, n_removed, n_modified_rows, n_modified_changes, is_empty: one row."""
+        one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
         parts = (
-            part(self.added, one, zero, zero, no_key)
-            .unionAll(part(self.removed, zero, one, zero, no_key))
-            .unionAll(part(self.weighted_changes, zero, zero, F.col("n_pairs"), changed))
+            self.added.select(one.alias("a"), zero.alias("r"), zero.alias("k"), zero.alias("c"))
+            .unionAll(self.removed.select(zero, one, zero, zero))
+            .unionAll(self.changed_keys.select(zero, zero, one, F.col("n_pairs")))
         )
-        per_key = parts.groupBy("k").agg(*[F.sum(n).alias(n) for n in "arc"])
-        total = per_key.agg(
-            F.coalesce(F.sum("a"), zero).alias("n_added"),
-            F.coalesce(F.sum("r"), zero).alias("n_removed"),
-            F.count("k").alias("n_modified_rows"),
-            F.coalesce(F.sum("c"), zero).alias("n_modified_changes"),
+        names = ("n_added", "n_removed", "n_modified_rows", "n_modified_changes")
+        total = parts.agg(
+            *[F.coalesce(F.sum(part), zero).alias(name) for part, name in zip("arkc", names)]
         )
         return total.withColumn(
             "is_empty", F.expr("n_added = 0 and n_removed = 0 and n_modified_changes = 0")
@@ -94,26 +79,17 @@ def _absent(rows: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
     return unmatched.select(*map(column, rows.columns)).unionByName(rows.where(~known))
 
 
-def _versions(
-    df: DataFrame, key: Sequence[str], columns: Sequence[str], side: str, keys_unique: bool
-) -> DataFrame:
+def _values(df: DataFrame, key: Sequence[str], columns: Sequence[str], side: str) -> DataFrame:
     values = [comparable_text(c).alias(f"{side}_{i}") for i, c in enumerate(columns)]
-    rows = df.where(_all_known(key)).select(*map(column, key), *values)
-    copies = f"{side}_copies"
-    if keys_unique:
-        return rows.withColumn(copies, F.lit(1).cast("bigint"))
-    return rows.groupBy(*map(column, rows.columns)).agg(F.count(F.lit(1)).alias(copies))
+    return df.where(_all_known(key)).select(*map(column, key), *values)
 
 
-def _changes(
-    previous: DataFrame,
-    current: DataFrame,
-    key: Sequence[str],
-    columns: Sequence[str],
-    keys_unique: bool,
+def _changes_of_unique(
+    previous: DataFrame, current: DataFrame, key: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    pairs = _versions(previous, key, columns, "old", keys_unique).join(
-        _versions(current, key, columns, "new", keys_unique), list(key), "inner"
+    """Changed values where each key meets at most one row."""
+    pairs = _values(previous, key, columns, "old").join(
+        _values(current, key, columns, "new"), list(key), "inner"
     )
     changed = [
         F.when(
@@ -126,16 +102,62 @@ def _changes(
         )
         for i, name in enumerate(columns)
     ]
-    rows = pairs.select(
-        *map(column, key),
-        (F.col("old_copies") * F.col("new_copies")).alias("n_pairs"),
-        F.inline(F.array_compact(F.array(*changed))),
+    inlined = F.inline(F.array_compact(F.array(*changed)))
+    return pairs.select(*map(column, key), inlined, F.lit(1).cast("bigint").alias("n_pairs"))
+
+
+def _value_counts(
+    previous: DataFrame, current: DataFrame, key: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Rows of either side per key, column and value: `n_old` and `n_new`."""
+
+    def melted(df: DataFrame, n_old: int, n_new: int) -> DataFrame:
+        cells = [
+            F.struct(F.lit(name).alias("column_name"), comparable_text(name).alias("value"))
+            for name in columns
+        ]
+        return df.where(_all_known(key)).select(
+            *map(column, key),
+            F.inline(F.array(*cells)),
+            F.lit(n_old).cast("bigint").alias("n_old"),
+            F.lit(n_new).cast("bigint").alias("n_new"),
+        )
+
+    both = melted(previous, 1, 0).unionAll(melted(current, 0, 1))
+    return both.groupBy(*map(column, key), "column_name", "value").agg(
+        F.sum("n_old").alias("n_old"), F.sum("n_new").alias("n_new")
     )
-    names = [*map(column, key), *map(F.col, CHANGE_COLUMNS)]
-    if keys_unique:
-        return rows.select(*names, "n_pairs")
-    # Two versions of a key may share one column's value: add up their pairs.
-    return rows.groupBy(*names).agg(F.sum("n_pairs").alias("n_pairs"))
+
+
+def _changes_of_repeated(counts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Changed values as distinct (old, new) with the number of row pairs."""
+    cell = [*key, "column_name"]
+    old = counts.where("n_old > 0").select(
+        *map(column, cell), F.col("value").alias("old_value"), "n_old"
+    )
+    new = counts.where("n_new > 0").select(
+        *map(column, cell), F.col("value").alias("new_value"), "n_new"
+    )
+    return (
+        old.join(new, cell, "inner")
+        .where("not (old_value <=> new_value)")
+        .select(
+            *map(column, cell),
+            "old_value",
+            "new_value",
+            (F.col("n_old") * F.col("n_new")).alias("n_pairs"),
+        )
+    )
+
+
+def _changed_keys_of_repeated(counts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Changed pairs per key: all pairs of a column less those with equal values."""
+    names = list(map(column, key))
+    per_column = counts.groupBy(*names, "column_name").agg(
+        (F.sum("n_old") * F.sum("n_new") - F.sum(F.col("n_old") * F.col("n_new"))).alias("n")
+    )
+    per_key = per_column.groupBy(*names).agg(F.sum("n").alias("n_pairs"))
+    return per_key.where("n_pairs > 0")
 
 
 def _require(df: DataFrame, names: Sequence[str], side: str) -> None:
@@ -153,19 +175,27 @@ def diff_snapshots(
 ) -> SnapshotDiff:
     """Compare two snapshots on `key` over `columns`.
 
-    Set `keys_unique` when a uniqueness check has passed: it saves the shuffle that
-    reduces repeated rows to versions.
+    Set `keys_unique` when a uniqueness check has passed: the sides are then joined as
+    they are, without counting values first.
     """
     key = (key,) if isinstance(key, str) else tuple(key)
     if not columns or set(key) & set(columns):
         raise ValueError("compare at least one column, and none of the key columns")
     for side, df in (("previous", previous), ("current", current)):
         _require(df, [*key, *columns], side)
+    if keys_unique:
+        changes = _changes_of_unique(previous, current, key, columns)
+        changed_keys = changes.groupBy(*map(column, key)).agg(F.sum("n_pairs").alias("n_pairs"))
+    else:
+        counts = _value_counts(previous, current, key, columns)
+        changes = _changes_of_repeated(counts, key)
+        changed_keys = _changed_keys_of_repeated(counts, key)
     return SnapshotDiff(
         key=key,
         added=_absent(current, previous, key),
         removed=_absent(previous, current, key),
-        weighted_changes=_changes(previous, current, key, columns, keys_unique),
+        weighted_changes=changes,
+        changed_keys=changed_keys,
         keys_unique=keys_unique,
     )
 

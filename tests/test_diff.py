@@ -151,6 +151,13 @@ def test_copies_of_a_hot_key_are_counted_not_paired(spark):
     assert counts(diff) == (0, 0, 1, n * n, False)
 
 
+def test_counts_of_a_hot_key_build_no_pairs(spark):
+    n = 20_000
+    rows = spark.range(n).select(F.lit("hot").alias("k"), F.col("id").cast("string").alias("v"))
+    diff = diff_snapshots(rows, rows, "k", ["v"])
+    assert counts(diff) == (0, 0, 1, n * n - n, False)
+
+
 def test_count_balance_and_replay(spark):
     old = spark.range(0, 500).select("id", (F.col("id") % 7).cast("string").alias("v"))
     new = spark.range(100, 700).select("id", (F.col("id") % 5).cast("string").alias("v"))
