@@ -99,7 +99,11 @@ def fold_accents(c: Column | str) -> Column:
 
 
 def _normalize_folded(folded: Column) -> Column:
-    bare = F.regexp_replace(F.regexp_replace(folded, _BRACKETS, " "), _PARENS, " ")
+    def without(text: Column, opening: str, pattern: str) -> Column:
+        # Most names have neither; a plain search is much cheaper than the pattern.
+        return F.when(text.contains(opening), F.regexp_replace(text, pattern, " ")).otherwise(text)
+
+    bare = without(without(folded, "[", _BRACKETS), "(", _PARENS)
     arabic = bare
     for roman, digits in sorted(ROMAN_NUMERALS.items(), key=lambda kv: -len(kv[0])):
         arabic = F.regexp_replace(arabic, rf"(?<!{_WORD}){roman}(?!{_WORD})", digits)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from starledger.functions.orbit import orbit_regime
 from starledger.functions.text import column
+from starledger.operators.contracts import validate
 from starledger.operators.match import FUZZY_THRESHOLD, Side, match_catalogs
 from starledger.operators.ranking import Queue, digest_bucket, pair_by_position
 from starledger.plans.contracts import CANONICAL
 from starledger.sources.shared import materialize
+from starledger.sources.snapshots import save_snapshot
 
 CATALOG_KEY = "NORAD_CAT_ID"
 
@@ -139,3 +141,15 @@ def build_canonical(
         keys_unique,
     )
     return CanonicalBuild(to_canonical(matched, snapshot_date), catalog_report(catalog))
+
+
+def publish_canonical(
+    build: CanonicalBuild, snapshot_date: date, base: str, overwrite: bool = False
+) -> str:
+    """Check the canonical rows against their contract and store them.
+
+    The rows are computed once into a written table. Their designators must be unique;
+    the contract version goes into the files, and `snapshot_date` stays inside them.
+    """
+    rows = validate(materialize(build.rows, "canonical"), CANONICAL, unique_key=True)
+    return save_snapshot(rows, snapshot_date, base, overwrite, version=CANONICAL.version)

@@ -20,8 +20,14 @@ from starledger.operators.match import (
     source_presence,
 )
 from starledger.operators.ranking import Queue, digest_bucket, pair_by_position, with_position
-from starledger.plans.canonical import build_canonical, catalog_report, join_catalogs
+from starledger.plans.canonical import (
+    build_canonical,
+    catalog_report,
+    join_catalogs,
+    publish_canonical,
+)
 from starledger.plans.contracts import CANONICAL, GP, REGISTRY, SATCAT
+from starledger.sources.snapshots import load_snapshot
 
 D = dt.date
 
@@ -250,9 +256,12 @@ def test_catalog_join(catalogs, unique):
     assert tuple(report) == (2, 2, 1, 1, 1)
 
 
-def test_canonical_table(spark, catalogs):
+def test_canonical_table(spark, catalogs, tmp_path):
     build = build_canonical(*catalogs, D(2026, 4, 24))
-    validate(build.rows, CANONICAL, unique_key=True)
+    publish_canonical(build, D(2026, 4, 24), str(tmp_path))
+    stored = load_snapshot(spark, D(2026, 4, 24), str(tmp_path), version="1.3.0")
+    validate(stored, CANONICAL, unique_key=True)
+    assert stored.columns == CANONICAL.columns
     assert duplicate_keys(build.rows, ["cospar_id"]).isEmpty()
     rows = {r.cospar_id: r for r in build.rows.collect()}
     assert set(rows) == {"2020-001A", "2020-009A", "2020-010A", "2020-002A", "2020-004A"}
