@@ -194,6 +194,12 @@ def test_repeated_designators_stay_one_to_one(spark):
     assert sources == {"cospar": 3, "unmatched_celestrak": 2}
 
 
+def test_nothing_left_for_the_name_pass(spark):
+    rows = [("x", "long enough to be called a long name", D(2024, 1, 1))]
+    assert [r.match_source for r in run_match(spark, rows, rows)] == ["cospar"]
+    assert [r.match_source for r in run_match(spark, rows, [])] == ["unmatched_unoosa"]
+
+
 def test_confidence_and_presence(spark):
     rows = [("cospar", None), ("name_date", None), ("fuzzy", 0.95), ("fuzzy", 0.949), ("unmatched_unoosa", None)]
     df = spark.createDataFrame(rows, "s string, x double")
