@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import pii
+from starledger.llm import language, pii
 from starledger.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,13 @@ def op10_pii(spark, sf):
         F.sha2(written(base), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op3_language(spark, sf):
+    """Predicted language of every document; one fold in four is held out of the learning."""
+    documents = table(spark, sf, "documents")
+    fold = language.held_out(F.col("doc_id"))
+    profiles = language.learn(documents.where(~fold))
+    predicted = language.predict(documents.select("doc_id", "text"), profiles)
+    return predicted.select("doc_id", fold.alias("held_out"), "lang_pred", "score", "fit")
