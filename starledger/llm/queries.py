@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import language, pii
+from starledger.llm import language, packing, pii, token_files
 from starledger.llm.base import table
+from starledger.sources.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +49,24 @@ def op3_language(spark, sf):
     profiles = language.learn(documents.where(~fold))
     predicted = language.predict(documents.select("doc_id", "text"), profiles)
     return predicted.select("doc_id", fold.alias("held_out"), "lang_pred", "score", "fit")
+
+
+@query
+def op5_token_files(spark, sf):
+    """Ids of every document, written to token files and read back."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    documents = table(spark, sf, "documents")
+    token_files.write_tokens(documents, path, public_tokenizers.path("word_bpe_49k.json"))
+    read = token_files.read_tokens(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_packing(spark, sf):
+    """Pieces of all documents packed into sequences."""
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
