@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import language, packing, pii, token_files
+from starledger.llm import html_text, language, packing, pii, token_files
 from starledger.llm.base import table
 from starledger.sources.shared import scratch_path
 
@@ -70,3 +70,11 @@ def op8_packing(spark, sf):
 
     pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op1_html(spark, sf):
+    """Main text of every page."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    texts = pages.withColumn("text", html_text.main_text(F.col("html"))).drop("html")
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
