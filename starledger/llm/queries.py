@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import html_text, language, packing, pii, token_files
+from starledger.llm import decontaminate, html_text, language, packing, pii, token_files
 from starledger.llm.base import table
 from starledger.sources.shared import scratch_path
 
@@ -78,3 +78,9 @@ def op1_html(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     texts = pages.withColumn("text", html_text.main_text(F.col("html"))).drop("html")
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op6_decontamination(spark, sf):
+    """Pairs of a document and a benchmark item that it holds, exactly or edited."""
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
