@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import decontaminate, html_text, language, packing, pii, token_files
+from starledger.llm import decontaminate, html_text, language, packing, pii, quality, token_files
 from starledger.llm.base import table
 from starledger.sources.shared import scratch_path
 
@@ -84,3 +84,10 @@ def op1_html(spark, sf):
 def op6_decontamination(spark, sf):
     """Pairs of a document and a benchmark item that it holds, exactly or edited."""
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op9_quality(spark, sf):
+    """Documents sampled by their likeness to those labelled good and not toxic."""
+    target = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    return quality.resample(table(spark, sf, "documents"), table(spark, sf, "labels"), target)
