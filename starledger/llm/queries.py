@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import decontaminate, html_text, language, packing, pii, quality, token_files
+from starledger.llm import decontaminate, html_text, language, neighbours, packing, pii, quality, token_files
 from starledger.llm.base import table
 from starledger.sources.shared import scratch_path
 
@@ -91,3 +91,9 @@ def op9_quality(spark, sf):
     """Documents sampled by their likeness to those labelled good and not toxic."""
     target = (F.col("quality") == 1) & (F.col("toxic") == 0)
     return quality.resample(table(spark, sf, "documents"), table(spark, sf, "labels"), target)
+
+
+@query
+def op4_neighbours(spark, sf):
+    """The 20 nearest vectors of every twentieth vector."""
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
