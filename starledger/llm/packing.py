@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.base import map_arrow, quoted, texts_of
+from starledger.llm.base import map_arrow, quoted
 from starledger.llm.encode import Encoder
 from starledger.llm.words import WordHasher
 
@@ -105,12 +105,11 @@ def pack(documents: DataFrame, tokenizer: str, end: int = 1) -> DataFrame:
     spread = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end, joined_spaces=True)
+        encoder = Encoder(tokenizer, end, joined_spaces=True, fold=False)
         packer = Packer(TaskContext.get().partitionId())
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            texts = texts_of(batch.column(1)).to_pylist()
-            for doc_id, tokens in zip(ids, encoder.encode(texts)):
+            for doc_id, tokens in zip(ids, encoder.encode(batch.column(1))):
                 packer.add(doc_id, tokens)
                 if packer.held > BATCH_IDS:
                     yield packer.full()

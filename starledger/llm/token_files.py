@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starledger.llm.base import map_arrow, quoted, texts_of
+from starledger.llm.base import map_arrow, quoted
 from starledger.llm.encode import Encoder
 
 HEADER = 256
 #: Bytes of ids after which a segment is closed; a longer document fills one of its own.
 SEGMENT_BYTES = 16 << 20
+#: Most segments whose starts are broadcast: some 20 MB.
+BROADCAST_SEGMENTS = 1_000_000
 #: Every so many set bits the byte position is noted when a file is opened.
 SAMPLE = 512
 ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
@@ -151,7 +153,7 @@ def write_tokens(
     spread = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end, joined_spaces=False, dtype=f"<u{width}")
+        encoder = Encoder(tokenizer, end, joined_spaces=False, fold=True, dtype=f"<u{width}")
         part, number = TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
         tokens: list[bytes] = []
@@ -163,7 +165,7 @@ def write_tokens(
 
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for doc_id, piece in zip(ids, encoder.encode(texts_of(batch.column(1)).to_pylist())):
+            for doc_id, piece in zip(ids, encoder.encode(batch.column(1))):
                 doc_ids.append(doc_id)
                 tokens.append(piece)
                 held += len(piece)
@@ -201,6 +203,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     rows = map_arrow(
         files, _documents, "part int, number int, doc_id long, first long, n_tokens long, ids binary"
     )
+    # One small row a segment; beyond the bound Spark joins by shuffling.
+    if segments.count() <= BROADCAST_SEGMENTS:
+        segments = F.broadcast(segments)
     return rows.join(segments, ["part", "number"]).select(
         "doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids"
     )
