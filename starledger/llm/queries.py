@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import decontaminate, html_text, language, neighbours, packing, pii, quality, token_files
+from starledger.llm import decontaminate, html_text, jaccard, language, neighbours, packing, pii, quality, repeats, token_files
 from starledger.llm.base import table
 from starledger.sources.shared import scratch_path
 
@@ -97,3 +97,16 @@ def op9_quality(spark, sf):
 def op4_neighbours(spark, sf):
     """The 20 nearest vectors of every twentieth vector."""
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op2_jaccard(spark, sf):
+    """Size of every document's shingle set and the component of its links."""
+    return jaccard.jaccard_join(table(spark, sf, "documents"))
+
+
+@query
+def op7_repeats(spark, sf):
+    """Words of every document and those removed as repeats of an earlier document."""
+    kept = repeats.remove_repeats(table(spark, sf, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")

@@ -63,9 +63,20 @@ class Words:
     data: np.ndarray
     bounds: np.ndarray  # byte bounds of the documents in `data`
 
+    is_space: np.ndarray  # by byte
+
     def counts(self) -> np.ndarray:
         return np.bincount(self.doc, minlength=self.rows)
 
+    def ends(self) -> np.ndarray:
+        """Byte position behind each word."""
+        inside = ~self.is_space[self.data]
+        last = inside.copy()
+        last[:-1] &= ~inside[1:]
+        tails = self.bounds[1:][self.bounds[1:] > 0] - 1
+        last[tails] = inside[tails]
+        return np.flatnonzero(last) + 1
+
 
 class WordHasher:
     """Finds and hashes words; `fold` makes A-Z equal to a-z."""
@@ -100,11 +111,15 @@ class WordHasher:
         starts = np.flatnonzero(begins)
         if not len(starts):
             none = np.zeros(0, np.int64)
-            return Words(first, rows, none, none.astype(np.uint64), none, data, bounds)
+            return Words(
+                first, rows, none, none.astype(np.uint64), none, data, bounds, self.is_space
+            )
         up, down = self.powers.upto(n)
         sums = np.add.reduceat(self.values[data] * up[:n], starts)
         doc = np.searchsorted(bounds, starts, side="right") - 1
-        return Words(first, rows, doc, mix(sums * down[starts]), starts, data, bounds)
+        return Words(
+            first, rows, doc, mix(sums * down[starts]), starts, data, bounds, self.is_space
+        )
 
     def windows(
         self, hashes: np.ndarray, doc: np.ndarray, size: int, salt: int = 0
