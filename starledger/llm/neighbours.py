@@ -31,7 +31,7 @@ PREFIX = 128
 #: Rows from which the pivots are taken, as copies are dropped.
 PIVOT_SAMPLE = 1024
 FIRST, SHARE = 128, 8
-VECTOR_BLOCK, QUERY_BLOCK = 2048, 512
+VECTOR_BLOCK, QUERY_BLOCK = 4096, 256
 
 FOUND = "query_id long, vec_id long, score double"
 
