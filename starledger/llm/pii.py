@@ -69,7 +69,7 @@ class SpanFinder:
         self.login = re.compile(r"[^\s/@:]{1,256}:[^\s/@]{1,256}(?=@[A-Za-z0-9])")
         self.value = re.compile(
             r"(?:[ _-]?(?:number|no|num|id|key))?[ \t]*[:=#][ \t]*[\"']?"
-            r"(?P<value>[A-Za-z0-9](?:[A-Za-z0-9+/_=.-]|[ ](?=[0-9])){5,})",
+            r"(?P<value>[A-Za-z0-9](?:[A-Za-z0-9+/_=.-]|[ ](?=[0-9])){5,127})",
             re.I,
         )
 
