@@ -4,11 +4,12 @@ A window is WINDOW consecutive words of one document. A word is removed if it li
 window whose word sequence also starts in a document with a smaller doc_id, judged on the
 input as it is.
 
-First pass: every task counts its windows in a count-min sketch of DEPTH rows of 2**BITS
-counters that stop at two, and writes them as sorted counter numbers, segment by segment.
-The sketches are added up by segment; what is left is one bit a counter: two or more. That
-is DEPTH * 2**BITS bits, 64 MB at any size of the corpus, and is broadcast. Counts are only
-ever overestimated, so no repeated window is lost.
+First pass: every task counts its windows in a count-min sketch of DEPTH rows of counters
+that stop at two, and writes the counters that it hit, segment by segment, as byte-coded
+gaps. The sketches are added up by segment; what is left is one bit a counter: two or
+more. A row has two counters for every window, up to 2**BITS; so the bits, which are
+broadcast, never exceed 64 MB. Counts are only ever overestimated, so no repeated window
+is lost.
 
 Second pass: only windows that all rows of the sketch call repeated are grouped, exactly,
 by their 64-bit hash. Each task first settles what it can: of its documents with one window
@@ -34,21 +35,37 @@ from starledger.llm.words import WordHasher, mix
 
 WINDOW = 13
 DEPTH = 2
+#: Most counters of a row, and the counters of a segment, as exponents.
 BITS = 28
-#: Counters of a segment, as an exponent, and of the runs whose numbers take two bytes.
-SEGMENT_BITS, RUN_BITS = 20, 16
+SEGMENT_BITS = 20
+#: Bytes of text that stand for one word when the sketch is sized.
+WORD_BYTES = 6
 #: Windows a task holds before it hands them on.
 HELD = 1 << 22
 
 
-def counters(hashes: np.ndarray, row: int) -> np.ndarray:
+def counters(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     """The counter of each window in a row of the sketch."""
     salt = np.uint64(0x9E3779B97F4A7C15 * (row + 1) & (1 << 64) - 1)
-    return (mix(hashes ^ salt) >> np.uint64(64 - BITS)).astype(np.uint32)
+    return (mix(hashes ^ salt) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Rows (segment, counts): counter numbers that the task's windows hit, twice at most."""
+def gaps(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as bytes: each gap as so many 255 and a smaller rest."""
+    gap = np.diff(numbers, prepend=0)
+    ends = np.cumsum(gap // 255 + 1)
+    out = np.full(int(ends[-1]), 255, np.uint8)
+    out[ends - 1] = gap % 255
+    return out.tobytes()
+
+
+def from_gaps(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(raw, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255]
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], window: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows (segment, counts): counters that the task's windows hit, each twice at most."""
     hasher = WordHasher()
     held: list[np.ndarray] = []
     size = 0
@@ -58,36 +75,30 @@ def _sketch(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
             held.append(hashes)
             size += len(hashes)
             if size >= HELD:
-                yield from _sketched(np.concatenate(held))
+                yield from _sketched(np.concatenate(held), bits)
                 held, size = [], 0
     if size:
-        yield from _sketched(np.concatenate(held))
+        yield from _sketched(np.concatenate(held), bits)
 
 
-def _sketched(hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sketched(hashes: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     for row in range(DEPTH):
-        numbers = np.sort(counters(hashes, row))
+        numbers = np.sort(counters(hashes, row, bits)).astype(np.int64)
         third = np.zeros(len(numbers), bool)
         third[2:] = numbers[2:] == numbers[:-2]
         numbers = numbers[~third]
-        cuts = np.searchsorted(numbers, np.arange(0, (1 << BITS) + 1, 1 << RUN_BITS, dtype=np.int64))
-        raw = (numbers & np.uint32((1 << RUN_BITS) - 1)).astype("<u2").tobytes()
-        runs = 1 << (SEGMENT_BITS - RUN_BITS)
-        segments, blobs = [], []
-        for segment in range(1 << (BITS - SEGMENT_BITS)):
-            own = cuts[segment * runs : (segment + 1) * runs + 1]
-            if own[-1] > own[0]:
-                lengths = np.diff(own).astype("<u4").tobytes()
-                segments.append(row << (BITS - SEGMENT_BITS) | segment)
-                blobs.append(lengths + raw[2 * own[0] : 2 * own[-1]])
-        arrays = [pa.array(segments, pa.int32()), pa.array(blobs, pa.binary())]
+        starts = np.arange(0, (1 << bits) + 1, 1 << SEGMENT_BITS)
+        cuts = np.searchsorted(numbers, starts)
+        segments = np.flatnonzero(np.diff(cuts))
+        blobs = [gaps(numbers[cuts[s] : cuts[s + 1]] - starts[s]) for s in segments]
+        named = segments + (row << (bits - SEGMENT_BITS))
+        arrays = [pa.array(named.astype(np.int32)), pa.array(blobs, pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["segment", "counts"])
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by segment; each segment's counts become one bit a counter."""
     current, total = None, np.zeros(1 << SEGMENT_BITS, np.uint8)
-    runs = 1 << (SEGMENT_BITS - RUN_BITS)
 
     def done() -> pa.RecordBatch:
         bits = np.packbits(total >= 2, bitorder="little").tobytes()
@@ -100,9 +111,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if current is not None:
                     yield done()
                 current, total = segment, np.zeros(1 << SEGMENT_BITS, np.uint8)
-            lengths = np.frombuffer(counts, "<u4", runs)
-            numbers = np.frombuffer(counts, "<u2", offset=4 * runs).astype(np.int64)
-            numbers += np.repeat(np.arange(runs, dtype=np.int64) << RUN_BITS, lengths)
+            numbers = from_gaps(counts)
             again = np.append(False, numbers[1:] == numbers[:-1])
             total[numbers[~again]] += 1
             total[numbers[again]] += 1
@@ -112,26 +121,30 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_counters(rows: DataFrame, window: int = WINDOW) -> np.ndarray:
-    """One bit for every counter of the merged sketch that is two or more."""
-    parts = map_arrow(rows, lambda batches: _sketch(batches, window), "segment int, counts binary")
+    """One bit for every counter of the merged sketch, a row each, that is two or more."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(BITS, max(SEGMENT_BITS, (2 * size // WORD_BYTES).bit_length()))
+    parts = map_arrow(
+        rows, lambda batches: _sketch(batches, window, bits), "segment int, counts binary"
+    )
     sorted_parts = parts.repartition("segment").sortWithinPartitions("segment")
-    out = np.zeros((DEPTH << BITS) // 8, np.uint8)
-    size = (1 << SEGMENT_BITS) // 8
-    for row in map_arrow(sorted_parts, _merged, "segment int, bits binary").toLocalIterator():
-        out[row.segment * size : (row.segment + 1) * size] = np.frombuffer(row.bits, np.uint8)
-    return out
+    out = np.zeros((DEPTH << bits) // 8, np.uint8)
+    step = (1 << SEGMENT_BITS) // 8
+    for row in map_arrow(sorted_parts, _merged, "segment int, bits binary").collect():
+        out[row.segment * step : (row.segment + 1) * step] = np.frombuffer(row.bits, np.uint8)
+    return out.reshape(DEPTH, -1)
 
 
 class Prefilter:
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+    def __init__(self, rows: np.ndarray):
+        self.rows, self.bits = rows, (8 * rows.shape[1]).bit_length() - 1
 
     def passes(self, hashes: np.ndarray) -> np.ndarray:
         """Which windows every row of the sketch calls repeated."""
         left = np.arange(len(hashes))
-        for row in range(DEPTH):
-            at = counters(hashes[left], row).astype(np.int64) + (row << BITS)
-            hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+        for row, bits in enumerate(self.rows):
+            at = counters(hashes[left], row, self.bits)
+            hit = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
             left = left[hit.astype(bool)]
         return left
 
@@ -160,16 +173,15 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
         if size:
             yield _settled(held)
 
-    found = map_arrow(rows, run, "hash long, doc long, sure boolean")
-    # What a task has settled needs no grouping and is dealt by a hash of its own.
-    key = F.when(F.col("sure"), F.xxhash64("hash", "doc")).otherwise(F.col("hash"))
-    first = F.min("doc").over(W.partitionBy("key"))
-    found = found.withColumn("key", key).withColumn("first", first)
-    return found.where("sure or doc > first").select("doc", "hash")
+    found = map_arrow(rows, run, "hash long, doc long, settled long")
+    # What a task has settled forms groups of its own, which are spread by document.
+    first = F.min("doc").over(W.partitionBy("hash", "settled"))
+    found = found.withColumn("first", first)
+    return found.where("settled is not null or doc > first").select("doc", "hash")
 
 
 def _settled(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Each window once a document; `sure` where the task itself has a smaller document."""
+    """Each window once a document; `settled` (the id) where the task has a smaller one."""
     hashes, docs = (np.concatenate(x) for x in zip(*held))
     order = np.lexsort((docs, hashes))
     hashes, docs = hashes[order], docs[order]
@@ -177,8 +189,9 @@ def _settled(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     start[1:] = hashes[1:] != hashes[:-1]
     new = start.copy()
     new[1:] |= docs[1:] != docs[:-1]
-    arrays = [pa.array(hashes[new].view(np.int64)), pa.array(docs[new]), pa.array(~start[new])]
-    return pa.RecordBatch.from_arrays(arrays, ["hash", "doc", "sure"])
+    settled = pa.array(docs[new], mask=start[new])
+    arrays = [pa.array(hashes[new].view(np.int64)), pa.array(docs[new]), settled]
+    return pa.RecordBatch.from_arrays(arrays, ["hash", "doc", "settled"])
 
 
 def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
