@@ -10,7 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
@@ -18,6 +19,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", shared.as_uri())
+        .config("spark.sql.warehouse.dir", (shared / "warehouse").as_uri())
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
