@@ -1,7 +1,8 @@
 """Intermediate tables in the folder all executors share.
 
 A written table cuts lineage and survives the loss of executors; unlike a checkpoint it
-also keeps column pruning and filter pushdown for the jobs that read it back.
+also keeps column pruning and filter pushdown for the jobs that read it back. The tables
+of an application lie in one folder, which goes when the application ends.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,23 +18,32 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only for a local master."""
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    """The cluster's shared folder; only a local session may do without the setting."""
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    return _local_dir(spark.sparkContext.applicationId)
+    own = Path(tempfile.gettempdir(), "starledger-shared").as_uri()
+    spark.sparkContext.setCheckpointDir(own)
+    return own
 
 
 @cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"starledger-{application}-")
+def _application_dir(application: str, shared: str) -> str:
+    """One folder an application, removed by the file system when the driver ends."""
+    spark = SparkSession.active()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared}/starledger-{application}")
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return path.toString()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_dir(spark)}/starledger/{label}-{uuid.uuid4().hex}"
+    folder = _application_dir(spark.sparkContext.applicationId, shared_dir(spark))
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,9 @@ partition discovery, and one date never touches another date's files.
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,9 @@ DATE_COLUMN = "snapshot_date"
 SCHEMA_VERSION = "schema_version"
 _PARTITION = re.compile(rf"{DATE_COLUMN}=(\d{{4}}-\d{{2}}-\d{{2}})")
 
+#: Left by Spark when all files of a write are in place.
+FINISHED = "_SUCCESS"
+
 # File compression.
 CODEC = "zstd"
 CODEC_LEVEL = 3
@@ -34,10 +39,9 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def _has_data(fs, folder) -> bool:
-    return any(
-        status.isFile() and not status.getPath().getName().startswith(("_", "."))
-        for status in fs.listStatus(folder)
-    )
+    """Whether a write has ended there: data files and the marker of a finished job."""
+    names = [status.getPath().getName() for status in fs.listStatus(folder) if status.isFile()]
+    return FINISHED in names and any(not name.startswith(("_", ".")) for name in names)
 
 
 def _require_base(spark: SparkSession, base: str):
@@ -90,10 +94,44 @@ def _check_version(df: DataFrame, version: str | None) -> None:
     if version is None:
         return
     stored = stored_schema_version(df)
-    if stored is None or stored.split(".")[0] != version.split(".")[0]:
+    if _major(stored) != _major(version):
         raise ValueError(f"schema version {stored} cannot be read as {version}")
 
 
+def _major(version: str | None) -> str | None:
+    return version.split(".")[0] if version else None
+
+
+def _replace(spark: SparkSession, fs, staged: str, target: str) -> None:
+    """Put a finished folder in place of another; the old one comes back if that fails."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    new, old = path(staged), path(target)
+    aside = path(f"{staged}-old")
+    if fs.exists(old) and not fs.rename(old, aside):
+        raise OSError(f"cannot move {target} away")
+    if not fs.rename(new, old):
+        if fs.exists(aside):
+            fs.rename(aside, old)
+        raise OSError(f"cannot move the new snapshot to {target}")
+    fs.delete(aside, True)
+
+
+def _write(df: DataFrame, fs, target: str) -> None:
+    """Write to a hidden folder beside the target, then move it there as a whole."""
+    spark = df.sparkSession
+    parent, _, name = target.rpartition("/")
+    staged = f"{parent}/_{name}-{uuid.uuid4().hex}"
+    try:
+        (
+            df.write.option("compression", CODEC)
+            .option("parquet.compression.codec.zstd.level", CODEC_LEVEL)
+            .parquet(staged)
+        )
+        _replace(spark, fs, staged, target)
+    finally:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
+
+
 def save_snapshot(
     df: DataFrame,
     snapshot_date: date,
@@ -104,8 +142,9 @@ def save_snapshot(
     """Write one snapshot and return its folder.
 
     The base folder must exist, the date must be new unless `overwrite`, and the frame
-    must have rows. Spark's commit protocol makes the write all-or-nothing. A
-    `snapshot_date` column of the frame stays inside the files.
+    must have rows. Files are written beside the target and moved when all are there, so a
+    failed write, also an overwrite, leaves what was there before. A `snapshot_date` column
+    of the frame stays inside the files.
     """
     spark = df.sparkSession
     fs, _ = _require_base(spark, base)
@@ -116,12 +155,7 @@ def save_snapshot(
     if df.isEmpty():
         raise ValueError("refusing to write an empty snapshot")
     stamped = df if version is None else with_schema_version(df, version)
-    (
-        stamped.write.mode("overwrite" if overwrite else "append")
-        .option("compression", CODEC)
-        .option("parquet.compression.codec.zstd.level", CODEC_LEVEL)
-        .parquet(target)
-    )
+    _write(stamped, fs, target)
     return target
 
 
@@ -141,14 +175,42 @@ def load_snapshot(
 def load_history(
     spark: SparkSession, base: str, schema: T.StructType | None = None, version: str | None = None
 ) -> DataFrame:
-    """All snapshots with `snapshot_date` as a column; a filter on it prunes folders."""
-    paths = [snapshot_path(base, d) for d in list_snapshot_dates(spark, base)]
-    if not paths:
+    """All snapshots with `snapshot_date` as a column; a filter on it prunes folders.
+
+    Versions of one major number are read together: a column that some dates lack is null
+    there. Dates of different majors are refused, and with `version` those of another
+    major than it. The schemas come from one file footer a date.
+    """
+    days = list_snapshot_dates(spark, base)
+    if not days:
         raise FileNotFoundError(f"no snapshots under {base}")
+    paths = [snapshot_path(base, day) for day in days]
     reader = spark.read.option("basePath", base)
-    df = (reader.schema(schema) if schema else reader).parquet(*paths)
-    _check_version(df, version)
-    return df
+    if schema:
+        df = reader.schema(schema).parquet(*paths)
+        _check_version(df, version)
+        return df
+    dated = [(day, spark.read.parquet(path)) for day, path in zip(days, paths)]
+    majors = {_major(stored_schema_version(df)) for _, df in dated}
+    if len(majors) > 1:
+        raise ValueError(f"snapshots of several major schema versions: {sorted(map(str, majors))}")
+    _check_version(dated[-1][1], version)
+    merged = reduce(_with_appended, (df.schema for _, df in dated))
+    inside = any(field.name == DATE_COLUMN for field in merged)
+    fields = [f for f in merged if f.name != DATE_COLUMN] if inside else list(merged)
+    kept = T.StructType([*fields, T.StructField(DATE_COLUMN, T.DateType())])
+    return reader.schema(kept).parquet(*paths)
+
+
+def _with_appended(schema: T.StructType, later: T.StructType) -> T.StructType:
+    """The fields of both; a field of both must keep its type, and the later one counts."""
+    known = {field.name: field for field in schema}
+    for field in later:
+        before = known.get(field.name)
+        if before is not None and before.dataType != field.dataType:
+            raise ValueError(f"column {field.name} changed from {before.dataType} to {field.dataType}")
+        known[field.name] = T.StructField(field.name, field.dataType, True, field.metadata)
+    return T.StructType(list(known.values()))
 
 
 def history_dates(history: DataFrame) -> DataFrame:
@@ -167,9 +229,5 @@ def append_changes(changes: DataFrame, snapshot_date: date, base: str) -> str:
     folder = spark._jvm.org.apache.hadoop.fs.Path(target)
     if fs.exists(folder):
         raise FileExistsError(f"changelog entry exists: {target}")
-    (
-        changes.write.option("compression", CODEC)
-        .option("parquet.compression.codec.zstd.level", CODEC_LEVEL)
-        .parquet(target)
-    )
+    _write(changes, fs, target)
     return target

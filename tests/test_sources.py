@@ -273,6 +273,35 @@ def test_failed_write_leaves_the_old_snapshot(spark, tmp_path):
     with pytest.raises(PySparkException, match="lost"):
         save_snapshot(broken, D1, base)
     assert list_snapshot_dates(spark, base) == []
+    save_snapshot(small(spark, 3), D1, base)
+    with pytest.raises(PySparkException, match="lost"):
+        save_snapshot(broken, D1, base, overwrite=True)
+    assert load_snapshot(spark, D1, base).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["snapshot_date=2024-01-01"]
+
+
+def test_unfinished_folder_is_no_snapshot(spark, tmp_path):
+    save_snapshot(small(spark), D1, str(tmp_path))
+    (tmp_path / "snapshot_date=2024-01-01" / "_SUCCESS").unlink()
+    assert list_snapshot_dates(spark, str(tmp_path)) == []
+
+
+def test_history_keeps_appended_columns_and_refuses_other_majors(spark, tmp_path):
+    base = str(tmp_path)
+    save_snapshot(small(spark, 1), D1, base, version="1.0.0")
+    save_snapshot(small(spark, 2).withColumn("extra", F.lit(7)), D2, base, version="1.1.0")
+    history = load_history(spark, base, version="1.0.0")
+    assert history.columns == ["designator", "launch", "flag", "extra", "snapshot_date"]
+    assert sorted((r.snapshot_date, r.extra or 0) for r in history.collect()) == [(D1, 0), (D2, 7), (D2, 7)]
+    assert stored_schema_version(history) == "1.1.0"
+    with pytest.raises(ValueError, match="schema version"):
+        load_history(spark, base, version="2.0.0")
+    save_snapshot(small(spark).withColumn("flag", F.lit("x")), D3, base, version="1.2.0")
+    with pytest.raises(ValueError, match="flag changed"):
+        load_history(spark, base)
+    save_snapshot(small(spark), D3, base, overwrite=True, version="2.0.0")
+    with pytest.raises(ValueError, match="several major"):
+        load_history(spark, base)
 
 
 def test_dates_are_listed_in_order_without_noise(spark, tmp_path):
