@@ -267,9 +267,26 @@ def mutual_best(pairs: DataFrame) -> DataFrame:
 
     The best partner is an aggregate, so no list of partners is ever gathered.
     """
-    pairs = materialize(pairs, "similar-names")
     best_r = pairs.groupBy("l").agg(F.min(F.struct(-F.col("score"), "r")).alias("_b"))
     best_l = pairs.groupBy("r").agg(F.min(F.struct(-F.col("score"), "l")).alias("_b"))
     return best_r.select("l", F.col("_b.r").alias("r"), (-F.col("_b.col1")).alias("score")).join(
         best_l.select(F.col("_b.l").alias("l"), "r"), ["l", "r"]
     )
+
+
+def accepted_pairs(pairs: DataFrame) -> DataFrame:
+    """One-to-one pairs of names, accepted in rounds until no pair has two free names.
+
+    Every round accepts the mutually best pairs and drops the other pairs of their names.
+    The best pair of all that remain is always mutual, so each round makes progress; the
+    remaining pairs and the accepted ones are written tables.
+    """
+    free = materialize(pairs, "similar-names")
+    found = []
+    while not free.isEmpty():
+        accepted = materialize(mutual_best(free), "accepted-names")
+        found.append(accepted)
+        for name in "lr":
+            free = free.join(accepted.select(name), name, "left_anti")
+        free = materialize(free.select("l", "r", "score"), "similar-names")
+    return reduce(DataFrame.unionAll, found) if found else pairs.limit(0)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starledger.functions.names import with_normal_name
 from starledger.functions.similarity import token_key
 from starledger.functions.text import column
-from starledger.operators.candidates import mutual_best, similar_names
+from starledger.operators.candidates import accepted_pairs, similar_names
 from starledger.operators.ranking import Queue, digest_bucket, pair_by_position
 from starledger.sources.shared import materialize
 
@@ -91,7 +91,7 @@ def _queue(df: DataFrame, side: str, keys: dict[str, Column], by_day: bool = Fal
     if by_day:
         bucket = F.concat_ws("|", F.col(f"{side}.day").cast("string"), bucket)
     row_id = F.col(f"{side}.id")
-    return Queue(own, bucket, (F.col(f"{side}.tie"), row_id), row_id)
+    return Queue(own, bucket, (F.col(f"{side}.tie"), row_id))
 
 
 def _left_over(paired: DataFrame, side: str, other: str) -> DataFrame:
@@ -110,7 +110,7 @@ def _matched(paired: DataFrame, source: str, score: Column) -> DataFrame:
 
 
 def _pair_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Pair the rows of mutually best names.
+    """Pair the rows of similar names, best pairs first.
 
     Names are compared once per distinct token set. Within a pair of names rows queue by
     launch day first, so objects of one launch tend to meet.
@@ -120,7 +120,7 @@ def _pair_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFram
         materialize(df.where("_key <> ''").select(F.col("_key").alias("name")).distinct(), "names")
         for df in keyed
     ]
-    best = materialize(mutual_best(similar_names(*names, threshold)), "best-names")
+    best = materialize(accepted_pairs(similar_names(*names, threshold)), "best-names")
     pair = F.col("pair")
     l_rows = keyed[0].join(
         best.select(F.col("l").alias("_key"), F.col("l").alias("pair"), "score"), "_key"

@@ -4,10 +4,10 @@ Two sides that share a key are paired by position: the first row of a group with
 first row of the other side's group, and so on. This takes as many rows as the group has,
 where a join on the key alone would build every pair.
 
-Positions are found without gathering a group in one task: the group is split into
+Groups of one row on either side, nearly all as a rule, are joined as they are. For the
+others positions are found without gathering a group in one task: the group is split into
 buckets by a digest of its rows, numbered inside each bucket, and shifted by the sizes of
-the buckets before. Copies share a digest, so a bucket that is still too large is split
-once more by row id.
+the buckets before. The order is the same for groups of any size.
 """
 
 from __future__ import annotations
@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 # Fixed value: leading hex digits of the digest, so at most 256 buckets in a group.
 BUCKET_DIGITS = 2
 
-# Rows that one task numbers without trouble.
-BUCKET_ROWS = 1_000_000
-
 
 def digest_bucket(*parts: Column) -> Column:
     """Bucket of a row from the MD5 digest of its identifying values."""
@@ -33,62 +30,54 @@ def digest_bucket(*parts: Column) -> Column:
 
 @dataclass(frozen=True)
 class Queue:
-    """One side of a pairing: rows with the group columns, and the order in a group.
-
-    `row_id` is an integer that differs between copies of a row and is final, that is,
-    read from a written table.
-    """
+    """One side of a pairing: rows with the group columns, and the order in a group."""
 
     df: DataFrame
     bucket: Column
     order: tuple[Column, ...]
-    row_id: Column
 
 
-def with_position(
-    queue: Queue, group: Sequence[str], out: str, bucket_rows: int = BUCKET_ROWS
-) -> DataFrame:
+def with_position(queue: Queue, group: Sequence[str], out: str) -> DataFrame:
     """Add the 1-based position of each row in its group.
 
-    Rows stand in the order of their buckets, and in a bucket in the queue's order; a
-    bucket of more than `bucket_rows` rows comes in several runs. Only groups that span
-    several cells take part in the shift.
+    Rows stand in the order of their buckets, and in a bucket in the queue's order. Only
+    groups that span several buckets take part in the shift.
     """
     bucketed = queue.df.withColumn("_bucket", queue.bucket)
-    sizes = bucketed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most one row per `bucket_rows` input rows, so a broadcast stays small.
-    large = sizes.where(F.col("_n") > bucket_rows).select(
-        *group, "_bucket", F.ceil(F.col("_n") / bucket_rows).alias("_runs")
-    )
-    run = F.coalesce(F.pmod(queue.row_id, F.col("_runs")), F.lit(0)).alias("_run")
-    placed = bucketed.join(F.broadcast(large), [*group, "_bucket"], "left").select(
-        *bucketed.columns, run
-    )
-    cell = [*group, "_bucket", "_run"]
+    cell = [*group, "_bucket"]
     before = (
-        placed.groupBy(*cell)
+        bucketed.groupBy(*cell)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn(
             "_before",
             F.sum("_n").over(
                 Window.partitionBy(*group)
-                .orderBy("_bucket", "_run")
+                .orderBy("_bucket")
                 .rowsBetween(Window.unboundedPreceding, -1)
             ),
         )
         .where("_before is not null")
         .drop("_n")
     )
-    numbered = placed.withColumn(
+    numbered = bucketed.withColumn(
         "_at", F.row_number().over(Window.partitionBy(*cell).orderBy(*queue.order))
     )
     return (
         numbered.join(before, cell, "left")
         .withColumn(out, F.col("_at") + F.coalesce("_before", F.lit(0)))
-        .drop("_at", "_before", "_bucket", "_run")
+        .drop("_at", "_before", "_bucket")
     )
 
 
+def _repeated(sides: Sequence[DataFrame], group: Sequence[str]) -> DataFrame:
+    """Groups with several rows on one side; partial counts keep hot groups small."""
+    counts = [
+        df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*group)
+        for df in sides
+    ]
+    return counts[0].union(counts[1]).distinct()
+
+
 def pair_by_position(
     left: Queue, right: Queue, group: Sequence[str], groups_unique: bool = False
 ) -> DataFrame:
@@ -96,18 +85,24 @@ def pair_by_position(
 
     Every input row appears exactly once. Rows with a null in `group` pair with nothing
     and skip the join. Beside `group`, the sides must not share column names.
-    `groups_unique` says that no group repeats on either side, so positions need not be
-    found.
+    `groups_unique` says that no group repeats on either side, so repeats need not be
+    looked for.
     """
     known = F.expr(" and ".join(f"`{g}` is not null" for g in group))
     sides = [q.df.where(known) for q in (left, right)]
     keys = list(group)
-    if not groups_unique:
-        keys.append("_pos")
-        sides = [
-            with_position(replace(q, df=df), group, "_pos") for df, q in zip(sides, (left, right))
+    if groups_unique:
+        joined = sides[0].join(sides[1], keys, "full_outer")
+    else:
+        repeated = _repeated(sides, group)
+        single = [df.join(repeated, keys, "left_anti") for df in sides]
+        many = [
+            with_position(replace(q, df=df.join(repeated, keys, "left_semi")), group, "_pos")
+            for df, q in zip(sides, (left, right))
         ]
-    joined = sides[0].join(sides[1], keys, "full_outer").drop("_pos")
+        joined = single[0].join(single[1], keys, "full_outer").unionByName(
+            many[0].join(many[1], [*keys, "_pos"], "full_outer").drop("_pos")
+        )
     for queue in (left, right):
         joined = joined.unionByName(queue.df.where(~known), allowMissingColumns=True)
     return joined

@@ -46,7 +46,7 @@ def join_catalogs(gp: DataFrame, satcat: DataFrame, keys_unique: bool = False) -
             own = materialize(numbered, f"catalog-{side}")
         row_id = F.col(f"{side}_id")
         bucket = digest_bucket(F.xxhash64(side))
-        return Queue(own, bucket, (F.col(side), row_id), row_id)
+        return Queue(own, bucket, (F.col(side), row_id))
 
     both = pair_by_position(queue(gp, "g"), queue(satcat, "s"), [CATALOG_KEY], keys_unique)
     in_both = F.col("g").isNotNull() & F.col("s").isNotNull()

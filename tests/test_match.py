@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from starledger.functions.similarity import _score
 from starledger.operators import analysis
-from starledger.operators.candidates import mutual_best, similar_names
+from starledger.operators.candidates import accepted_pairs, mutual_best, similar_names
 from starledger.operators.contracts import duplicate_keys, validate
 from starledger.operators.match import (
     Side,
@@ -32,22 +32,21 @@ from starledger.sources.snapshots import load_snapshot
 D = dt.date
 
 
-@pytest.mark.parametrize("bucket_rows", [1_000_000, 5])
-def test_positions_run_through_a_group(spark, bucket_rows):
+def test_positions_run_through_a_group(spark):
     df = spark.range(5000).select(
         F.when(F.col("id") < 4000, "hot").otherwise(F.col("id").cast("string")).alias("g"), "id"
     )
-    queue = Queue(df, digest_bucket(F.col("id")), (F.col("id"),), F.col("id"))
-    numbered = with_position(queue, ["g"], "pos", bucket_rows)
+    queue = Queue(df, digest_bucket(F.col("id")), (F.col("id"),))
+    numbered = with_position(queue, ["g"], "pos")
     hot = sorted(r.pos for r in numbered.where("g = 'hot'").collect())
     assert hot == list(range(1, 4001))
     assert {r.pos for r in numbered.where("g <> 'hot'").collect()} == {1}
 
 
-def test_copies_are_numbered_in_runs(spark):
+def test_copies_are_numbered(spark):
     df = spark.range(1000).select(F.lit("hot").alias("g"), F.lit("copy").alias("v"), "id")
-    queue = Queue(df, digest_bucket(F.col("v")), (F.col("v"),), F.col("id"))
-    numbered = with_position(queue, ["g"], "pos", bucket_rows=100)
+    queue = Queue(df, digest_bucket(F.col("v")), (F.col("v"),))
+    numbered = with_position(queue, ["g"], "pos")
     assert sorted(r.pos for r in numbered.collect()) == list(range(1, 1001))
 
 
@@ -58,7 +57,7 @@ def test_pairing_keeps_every_row_once(spark, unique):
     right = spark.range(100, 300).select((F.col("id") / step).cast("int").alias("g"), F.col("id").alias("r"))
     nulls = [df.limit(3).withColumn("g", F.lit(None).cast("int")) for df in (left, right)]
     sides = [
-        Queue(df.unionByName(n), digest_bucket(F.col(c)), (F.col(c),), F.col(c))
+        Queue(df.unionByName(n), digest_bucket(F.col(c)), (F.col(c),))
         for df, n, c in ((left, nulls[0], "l"), (right, nulls[1], "r"))
     ]
     rows = pair_by_position(*sides, ["g"], unique).collect()
@@ -111,6 +110,19 @@ def test_mutual_best(spark):
     assert {tuple(r) for r in mutual_best(ties).collect()} == {("a", "x", 1.0)}
 
 
+def test_pairs_are_accepted_until_none_is_free(spark):
+    rng = random.Random(2)
+    rows = {(f"l{rng.randint(0, 25)}", f"r{rng.randint(0, 25)}"): rng.randint(90, 99) / 100 for _ in range(120)}
+    df = spark.createDataFrame([(*k, v) for k, v in rows.items()], "l string, r string, score double")
+    expected, used = set(), set()
+    for (a, b), score in sorted(rows.items(), key=lambda x: (-x[1], x[0])):
+        if a not in used and b not in used:
+            expected.add((a, b, score))
+            used |= {a, b}
+    assert {tuple(r) for r in accepted_pairs(df).collect()} == expected
+    assert accepted_pairs(df.limit(0)).collect() == []
+
+
 LEFT_SCHEMA = "lid string, lname string, lday date"
 RIGHT_SCHEMA = "rid string, rname string, rday date, n long"
 
