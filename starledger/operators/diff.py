@@ -1,12 +1,13 @@
 """Semantic diff of two full snapshots: added rows, removed rows, changed values.
 
-Each side is joined once for all compared columns; changed values become rows by
-inlining an array, not by one join per column.
-
-Rows with a null key equal nothing: they are always added or removed. They skip the join,
-so a large share of null keys cannot pile up in one task. A key that repeats pairs every
-previous row with every current row. Those pairs are counted, not built: values are
-counted per key and column first, and only distinct values of a column meet.
+Keys that occur once on either side, nearly all as a rule, meet in one full outer join that
+tags each key as added, removed or matched; changed values become rows by inlining an
+array. Rows with a null key equal nothing: they are always added or removed, and a salt
+spreads them over the tasks of the join.
+
+A key that repeats pairs every previous row with every current row. Those pairs are
+counted, not built: values are counted per key and column first, and only distinct values
+of a column meet.
 """
 
 from __future__ import annotations
@@ -31,79 +32,92 @@ class SnapshotDiff:
     `added` has the current columns, `removed` the previous ones. `weighted_changes` has
     the key, `column_name`, `old_value`, `new_value` (text, '' as null) and `n_pairs`, the
     number of row pairs with that change: 1 wherever the key is unique on both sides.
-    `changed_keys` has the key and `n_pairs` in all, for keys with a change.
+    `totals` is one row: n_added, n_removed, n_modified_rows, n_modified_changes.
     """
 
     key: tuple[str, ...]
     added: DataFrame
     removed: DataFrame
     weighted_changes: DataFrame
-    changed_keys: DataFrame
+    totals: DataFrame
     keys_unique: bool
 
     @cached_property
     def changes(self) -> DataFrame:
-        """One row per changed value of each row pair, ordered by key and column."""
-        rows = self.weighted_changes
-        if not self.keys_unique:
-            rows = rows.select("*", F.explode(F.sequence(F.lit(1), "n_pairs")).alias("_i"))
+        """Changed values ordered by key and column; for a repeated key, each change once."""
         order = [*map(column, self.key), F.col("column_name")]
-        return rows.select(*order, "old_value", "new_value").orderBy(*order)
+        return self.weighted_changes.select(*order, "old_value", "new_value").orderBy(*order)
 
     @cached_property
     def counts(self) -> DataFrame:
         """n_added, n_removed, n_modified_rows, n_modified_changes, is_empty: one row."""
-        one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-        parts = (
-            self.added.select(one.alias("a"), zero.alias("r"), zero.alias("k"), zero.alias("c"))
-            .unionAll(self.removed.select(zero, one, zero, zero))
-            .unionAll(self.changed_keys.select(zero, zero, one, F.col("n_pairs")))
-        )
-        names = ("n_added", "n_removed", "n_modified_rows", "n_modified_changes")
-        total = parts.agg(
-            *[F.coalesce(F.sum(part), zero).alias(name) for part, name in zip("arkc", names)]
-        )
-        return total.withColumn(
+        return self.totals.withColumn(
             "is_empty", F.expr("n_added = 0 and n_removed = 0 and n_modified_changes = 0")
         )
 
 
+TOTALS = ("n_added", "n_removed", "n_modified_rows", "n_modified_changes")
+
+
+def _sums(rows: DataFrame, *values: Column) -> DataFrame:
+    """One row of totals."""
+    zero = F.lit(0).cast("bigint")
+    return rows.agg(
+        *[F.coalesce(F.sum(v.cast("bigint")), zero).alias(n) for n, v in zip(TOTALS, values)]
+    )
+
+
 def _all_known(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [column(k).isNotNull() for k in key])
 
 
 def _absent(rows: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
-    known = _all_known(key)
-    keys = other.where(known).select(*map(column, key))
-    unmatched = rows.where(known).join(keys, list(key), "left_anti")
-    return unmatched.select(*map(column, rows.columns)).unionByName(rows.where(~known))
+    unmatched = rows.join(other.select(*map(column, key)), list(key), "left_anti")
+    return unmatched.select(*map(column, rows.columns))
 
 
-def _values(df: DataFrame, key: Sequence[str], columns: Sequence[str], side: str) -> DataFrame:
-    values = [comparable_text(c).alias(f"{side}_{i}") for i, c in enumerate(columns)]
-    return df.where(_all_known(key)).select(*map(column, key), *values)
+def _diff_of_unique(
+    previous: DataFrame, current: DataFrame, key: Sequence[str], columns: Sequence[str]
+) -> SnapshotDiff:
+    """The diff where each key meets at most one row, from one join of both sides."""
+    names = [f"_key_{i}" for i in range(len(key))]
+
+    def side(df: DataFrame, label: str) -> DataFrame:
+        salt = F.when(~_all_known(key), F.xxhash64(*map(column, [*key, *columns])))
+        return df.select(
+            *[column(k).alias(n) for k, n in zip(key, names)],
+            F.coalesce(salt, F.lit(0)).alias("_salt"),
+            F.lit(True).alias(f"_in_{label}"),
+            *[column(c).alias(f"{label} {c}") for c in df.columns],
+        )
 
+    def back(rows: DataFrame, df: DataFrame, label: str) -> DataFrame:
+        return rows.select(*[column(f"{label} {c}").alias(c) for c in df.columns])
 
-def _changes_of_unique(
-    previous: DataFrame, current: DataFrame, key: Sequence[str], columns: Sequence[str]
-) -> DataFrame:
-    """Changed values where each key meets at most one row."""
-    pairs = _values(previous, key, columns, "old").join(
-        _values(current, key, columns, "new"), list(key), "inner"
-    )
+    joined = side(previous, "old").join(side(current, "new"), [*names, "_salt"], "full_outer")
+    old, new = ([comparable_text(f"{label} {c}") for c in columns] for label in ("old", "new"))
+    differs = [~a.eqNullSafe(b) for a, b in zip(old, new)]
+    is_added, is_removed = F.col("_in_old").isNull(), F.col("_in_new").isNull()
     changed = [
         F.when(
-            ~F.col(f"old_{i}").eqNullSafe(F.col(f"new_{i}")),
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"old_{i}").alias("old_value"),
-                F.col(f"new_{i}").alias("new_value"),
-            ),
+            d, F.struct(F.lit(c).alias("column_name"), a.alias("old_value"), b.alias("new_value"))
         )
-        for i, name in enumerate(columns)
+        for c, a, b, d in zip(columns, old, new, differs)
     ]
-    inlined = F.inline(F.array_compact(F.array(*changed)))
-    return pairs.select(*map(column, key), inlined, F.lit(1).cast("bigint").alias("n_pairs"))
+    n_changed = F.when(~is_added & ~is_removed, reduce(lambda x, y: x + y, [d.cast("int") for d in differs]))
+    pairs = joined.where(~is_added & ~is_removed)
+    return SnapshotDiff(
+        key=tuple(key),
+        added=back(joined.where(is_added), current, "new"),
+        removed=back(joined.where(is_removed), previous, "old"),
+        weighted_changes=pairs.select(
+            *[F.col(n).alias(k) for k, n in zip(key, names)],
+            F.inline(F.array_compact(F.array(*changed))),
+            F.lit(1).cast("bigint").alias("n_pairs"),
+        ),
+        totals=_sums(joined, is_added, is_removed, n_changed > 0, n_changed),
+        keys_unique=True,
+    )
 
 
 def _value_counts(
@@ -160,6 +174,36 @@ def _changed_keys_of_repeated(counts: DataFrame, key: Sequence[str]) -> DataFram
     return per_key.where("n_pairs > 0")
 
 
+def _repeated(previous: DataFrame, current: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys that several rows of one side have."""
+    several = [
+        df.where(_all_known(key)).groupBy(*map(column, key)).count().where("count > 1").drop("count")
+        for df in (previous, current)
+    ]
+    return several[0].union(several[1]).distinct()
+
+
+def _diff_of_repeated(
+    previous: DataFrame, current: DataFrame, key: Sequence[str], columns: Sequence[str]
+) -> SnapshotDiff:
+    """The diff of rows with known keys that repeat, from counted values."""
+    counts = _value_counts(previous, current, key, columns)
+    added, removed = _absent(current, previous, key), _absent(previous, current, key)
+    changed = _changed_keys_of_repeated(counts, key)
+    one, zero = F.lit(1), F.lit(0)
+    parts = added.select(one.alias("a"), zero.alias("r"), zero.alias("k"), zero.cast("bigint").alias("c"))
+    parts = parts.unionAll(removed.select(zero, one, zero, zero))
+    parts = parts.unionAll(changed.select(zero, zero, one, "n_pairs"))
+    return SnapshotDiff(
+        key=tuple(key),
+        added=added,
+        removed=removed,
+        weighted_changes=_changes_of_repeated(counts, key),
+        totals=_sums(parts, *map(F.col, "arkc")),
+        keys_unique=False,
+    )
+
+
 def _require(df: DataFrame, names: Sequence[str], side: str) -> None:
     missing = sorted(set(names) - set(df.columns))
     if missing:
@@ -175,8 +219,8 @@ def diff_snapshots(
 ) -> SnapshotDiff:
     """Compare two snapshots on `key` over `columns`.
 
-    Set `keys_unique` when a uniqueness check has passed: the sides are then joined as
-    they are, without counting values first.
+    Set `keys_unique` when a uniqueness check has passed: repeated keys are then not
+    looked for.
     """
     key = (key,) if isinstance(key, str) else tuple(key)
     if not columns or set(key) & set(columns):
@@ -184,19 +228,27 @@ def diff_snapshots(
     for side, df in (("previous", previous), ("current", current)):
         _require(df, [*key, *columns], side)
     if keys_unique:
-        changes = _changes_of_unique(previous, current, key, columns)
-        changed_keys = changes.groupBy(*map(column, key)).agg(F.sum("n_pairs").alias("n_pairs"))
-    else:
-        counts = _value_counts(previous, current, key, columns)
-        changes = _changes_of_repeated(counts, key)
-        changed_keys = _changed_keys_of_repeated(counts, key)
+        return _diff_of_unique(previous, current, key, columns)
+    repeated = _repeated(previous, current, key)
+    names = list(key)
+    once = _diff_of_unique(
+        *[df.join(repeated, names, "left_anti").select(*map(column, df.columns)) for df in (previous, current)],
+        key,
+        columns,
+    )
+    often = _diff_of_repeated(
+        *[df.join(repeated, names, "left_semi").select(*map(column, df.columns)) for df in (previous, current)],
+        key,
+        columns,
+    )
+    both = once.totals.unionAll(often.totals)
     return SnapshotDiff(
         key=key,
-        added=_absent(current, previous, key),
-        removed=_absent(previous, current, key),
-        weighted_changes=changes,
-        changed_keys=changed_keys,
-        keys_unique=keys_unique,
+        added=once.added.unionByName(often.added),
+        removed=once.removed.unionByName(often.removed),
+        weighted_changes=once.weighted_changes.unionByName(often.weighted_changes),
+        totals=_sums(both, *map(F.col, TOTALS)),
+        keys_unique=False,
     )
 
 

@@ -106,14 +106,14 @@ def bad_pages(pages: DataFrame) -> DataFrame:
     return _parsed(pages).select("page", _fault().alias("fault")).where("fault is not null")
 
 
-def _text_field(record: Column, key: str) -> Column:
-    value = F.try_variant_get(record, f'$.values["{key}"]', "variant")
+def _text_field(values: Column, key: str) -> Column:
+    value = F.try_element_at(values, F.lit(key))
     text = F.when(F.schema_of_variant(value) == "STRING", value.try_cast("string"))
     return null_to_blank(text)
 
 
-def _documents_field(record: Column) -> Column:
-    docs = F.try_variant_get(record, f'$.values["{DOCUMENTS_KEY}"]', "array<variant>")
+def _documents_field(values: Column) -> Column:
+    docs = F.try_element_at(values, F.lit(DOCUMENTS_KEY)).try_cast("array<variant>")
     texts = F.transform(
         docs,
         lambda d: F.when(
@@ -141,9 +141,13 @@ def page_records(pages: DataFrame) -> DataFrame:
     record = checked.select(F.explode_outer("_results").alias("_record")).where(
         F.col("_record").isNotNull()
     )
-    fields = {name: _text_field(F.col("_record"), key) for key, name in FIELD_COLUMNS.items()}
-    fields[DOCUMENTS_COLUMN] = _documents_field(F.col("_record"))
-    return record.select(*[fields[name].alias(name) for name in REGISTRY_SCHEMA.names])
+    # The values of a record are read once; each field is then looked up by its key.
+    values = record.select(
+        F.try_variant_get("_record", "$.values", "map<string,variant>").alias("_values")
+    )
+    fields = {name: _text_field(F.col("_values"), key) for key, name in FIELD_COLUMNS.items()}
+    fields[DOCUMENTS_COLUMN] = _documents_field(F.col("_values"))
+    return values.select(*[fields[name].alias(name) for name in REGISTRY_SCHEMA.names])
 
 
 def type_records(records: DataFrame) -> DataFrame:

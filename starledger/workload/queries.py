@@ -111,7 +111,7 @@ def diff_counts(spark, sf):
 
 @query
 def diff_repeated_keys(spark, sf):
-    return _line_diff(spark, sf).changes
+    return _line_diff(spark, sf).weighted_changes
 
 
 @query
