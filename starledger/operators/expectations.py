@@ -20,8 +20,8 @@ from starledger.functions.text import column, has_edge_space, leading_year, year
 FIRST_LAUNCH_YEAR = 1957
 YEARS_AHEAD = 2
 MODERN_DESIGNATOR_YEAR = 1963
-GREEK_DESIGNATOR = r"^[0-9]{4}-[A-Z]{4,}"
-MODERN_DESIGNATOR = r"^[0-9]{4}-[0-9]{3}[A-Z0-9]+"
+GREEK_DESIGNATOR = r"^\d{4}-[A-Z]{4,}"
+MODERN_DESIGNATOR = r"^\d{4}-\d{3}[A-Z0-9]+"
 PLACEHOLDER = "XXXX"
 MIN_FREQUENCY = 3
 COUNT_TOLERANCE = 0.05
@@ -34,6 +34,7 @@ SHARE_DRIFT_POINTS = 2.0
 TOP_VALUES = 10
 
 
+# Columns that the checks read.
 @dataclass(frozen=True)
 class RegistryColumns:
     """Columns the checks look at."""
@@ -112,10 +113,13 @@ def check_expectations(
     previous_count: int | None = None,
     as_of_year: int | None = None,
     columns: RegistryColumns = RegistryColumns(),
+    listed_values: int = LISTED_VALUES,
 ) -> DataFrame:
     """Six checks as six rows. An empty frame fails when the report is evaluated.
 
     `as_of_year` fixes the latest plausible launch year; the current UTC year if not set.
+    The text of the last check names up to `listed_values` rare values, its count all;
+    `rare_values` gives them as rows, `edge_space_counts` the whitespace of each column.
     """
     required = {columns.designator, columns.launch, columns.category}
     missing = sorted(required - set(df.columns))
@@ -169,13 +173,13 @@ def check_expectations(
             )
         )
     )
-    return row_checks.unionByName(_rare_value_check(df, columns.category))
+    return row_checks.unionByName(_rare_value_check(df, columns.category, listed_values))
 
 
-def _rare_value_check(df: DataFrame, category: str) -> DataFrame:
+def _rare_value_check(df: DataFrame, category: str, listed_values: int) -> DataFrame:
     rare = rare_values(df, category, count="_n").select(column(category).alias("_v"), F.lit(1).alias("_c"))
     # The count is an aggregate; only the few listed values are gathered, in order.
-    listed = rare.orderBy("_v").limit(LISTED_VALUES).select("_v", F.lit(0).alias("_c"))
+    listed = rare.orderBy("_v").limit(listed_values).select("_v", F.lit(0).alias("_c"))
     counted = rare.agg(F.count(F.lit(1)).alias("_c")).select(F.lit(None).cast("string").alias("_v"), "_c")
     both = counted.unionByName(listed.withColumn("_v", F.col("_v").cast("string"))).agg(
         F.sum("_c").alias("_c"), F.array_join(F.sort_array(F.collect_list("_v")), ", ").alias("_v")
@@ -187,6 +191,14 @@ def _rare_value_check(df: DataFrame, category: str) -> DataFrame:
     )
 
 
+def edge_space_counts(df: DataFrame, columns: RegistryColumns = RegistryColumns()) -> DataFrame:
+    """Cells with outer whitespace in each text column, as (column_name, n): one pass."""
+    names = [c for c in columns.text if c in df.columns]
+    counted = df.agg(*[F.count_if(has_edge_space(c)).alias(f"n{i}") for i, c in enumerate(names)])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n")) for i, c in enumerate(names)]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def top_values(df: DataFrame, category: str, limit: int = TOP_VALUES) -> DataFrame:
     """The most frequent values with counts; ties go to the smaller value."""
     counted = df.where(_known(category)).groupBy(column(category).alias("value")).agg(F.count(F.lit(1)).alias("n"))

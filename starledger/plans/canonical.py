@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starledger.functions.orbit import orbit_regime
 from starledger.functions.text import column
-from starledger.operators.contracts import validate
+from starledger.operators.contracts import duplicate_keys, validate
 from starledger.operators.match import FUZZY_THRESHOLD, Side, match_catalogs
 from starledger.operators.ranking import Queue, digest_bucket, pair_by_position
 from starledger.plans.contracts import CANONICAL
@@ -114,20 +114,30 @@ def to_canonical(matched: DataFrame, snapshot_date: date) -> DataFrame:
     )
 
 
+def _unique(df: DataFrame, key: str) -> bool:
+    return duplicate_keys(df, [key]).isEmpty()
+
+
 def build_canonical(
     registry: DataFrame,
     gp: DataFrame,
     satcat: DataFrame,
     snapshot_date: date,
     fuzzy_threshold: float | None = FUZZY_THRESHOLD,
-    keys_unique: bool = False,
+    keys_unique: bool | None = None,
 ) -> CanonicalBuild:
     """Join the catalogs, match them to the registry, and map to the canonical columns.
 
-    Catalog rows without a designator are left out and counted in the report. Set
-    `keys_unique` when designators and catalog numbers have passed a uniqueness check.
+    Catalog rows without a designator are left out and counted in the report. Whether
+    designators and catalog numbers are unique is looked up on the key columns alone
+    unless `keys_unique` says it.
     """
-    catalog = join_catalogs(gp, satcat, keys_unique)
+    catalog_unique = designators_unique = keys_unique
+    if keys_unique is None:
+        catalog_unique = _unique(gp, CATALOG_KEY) and _unique(satcat, CATALOG_KEY)
+    catalog = join_catalogs(gp, satcat, catalog_unique)
+    if keys_unique is None:
+        designators_unique = _unique(registry, "International Designator") and _unique(catalog, "OBJECT_ID")
     matched = match_catalogs(
         Side(registry, "International Designator", "Name of Space Object", "Date of Launch"),
         Side(
@@ -138,7 +148,7 @@ def build_canonical(
             tie=(CATALOG_KEY,),
         ),
         fuzzy_threshold,
-        keys_unique,
+        designators_unique,
     )
     return CanonicalBuild(to_canonical(matched, snapshot_date), catalog_report(catalog))
 

@@ -9,22 +9,38 @@ from pyspark.sql import DataFrame
 
 from starledger.operators.contracts import duplicate_keys, validate
 from starledger.operators.diff import SnapshotDiff, diff_snapshots
-from starledger.operators.expectations import check_expectations
+from starledger.operators.expectations import (
+    check_drift,
+    check_expectations,
+    rare_values,
+    row_warnings,
+)
 from starledger.plans.contracts import DIFF_COLUMNS, REGISTRY
 from starledger.sources.pages import check_completeness, load_registry
 from starledger.sources.shared import materialize
-from starledger.sources.snapshots import load_snapshot, previous_snapshot_date, save_snapshot
+from starledger.sources.snapshots import (
+    append_changes,
+    load_snapshot,
+    previous_snapshot_date,
+    save_snapshot,
+)
+
+CATEGORY = "State of Registry"
 
 
 @dataclass(frozen=True)
 class WeeklyResult:
-    """What a run produced; `diff` is None on the first run."""
+    """What a run produced; `diff`, `drift` and `changelog` are None on the first run."""
 
     snapshot_date: date
     path: str
     rows: int
     expectations: DataFrame
+    rare_values: DataFrame
+    warnings: DataFrame
     diff: SnapshotDiff | None
+    drift: DataFrame | None
+    changelog: str | None
 
 
 def registry_diff(previous: DataFrame, current: DataFrame) -> SnapshotDiff:
@@ -44,24 +60,40 @@ def weekly_ingest(
     base: str,
     overwrite: bool = False,
     as_of_year: int | None = None,
+    changelog_base: str | None = None,
 ) -> WeeklyResult:
     """Take one landed load of registry pages into the snapshot store.
 
     The pages are parsed once into a written table; validation, checks and the snapshot
-    itself read that table. A broken contract stops the run, expectations do not.
+    itself read that table. A broken contract stops the run; expectations, drift checks and
+    row warnings do not. With `changelog_base` the changed values are added to a changelog
+    there; a date that is already in it is refused.
     """
     spark = pages.sparkSession
     check_completeness(pages)
     typed = validate(materialize(load_registry(pages), "registry"), REGISTRY)
     day_before = previous_snapshot_date(spark, base, snapshot_date)
     try:
-        previous = load_snapshot(spark, day_before, base) if day_before else None
+        previous = load_snapshot(spark, day_before, base, REGISTRY.version) if day_before else None
     except FileNotFoundError:
         previous = None
     report = check_expectations(
         typed, previous.count() if previous is not None else None, as_of_year
     )
-    path = save_snapshot(typed, snapshot_date, base, overwrite)
-    current = load_snapshot(spark, snapshot_date, base)
+    path = save_snapshot(typed, snapshot_date, base, overwrite, REGISTRY.version)
+    current = load_snapshot(spark, snapshot_date, base, REGISTRY.version)
     diff = registry_diff(previous, current) if previous is not None else None
-    return WeeklyResult(snapshot_date, path, current.count(), report, diff)
+    logged = None
+    if diff is not None and changelog_base:
+        logged = append_changes(diff.weighted_changes, snapshot_date, changelog_base)
+    return WeeklyResult(
+        snapshot_date,
+        path,
+        current.count(),
+        report,
+        rare_values(current, CATEGORY),
+        row_warnings(current),
+        diff,
+        check_drift(previous, current, diff.added) if diff is not None else None,
+        logged,
+    )

@@ -147,6 +147,19 @@ def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _pages(orders: DataFrame, records: Column, found: int) -> DataFrame:
+    """JSON records as landed pages of at most 50, each with the announced total."""
+    # The orders are shuffled as they are; the wider JSON text is built after.
+    by_page = orders.withColumn("n", F.floor(F.col("o_orderkey") / 50)).repartition("n")
+    return by_page.select("n", records.alias("j")).groupBy("n").agg(
+        F.concat(
+            F.lit(f'{{"found": {found}, "results": ['),
+            F.array_join(F.collect_list("j"), ","),
+            F.lit("]}"),
+        ).alias("page")
+    ).select("page")
+
+
 def registry_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw registry as landed JSON pages of at most 50 records.
 
@@ -167,20 +180,33 @@ def registry_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.to_json(F.struct(values.alias("values")))
 
     national = F.expr(RAW_REGISTRY["National Designator"])
-    # The orders are shuffled as they are; the wider JSON text is built after.
-    by_page = orders.withColumn("n", F.floor(F.col("o_orderkey") / 50)).repartition("n")
-    records = by_page.select(
-        "n",
-        F.when(F.col("p") == "2", record(F.col("o_custkey"))).otherwise(record(national)).alias("j"),
-    )
-    found = table(spark, sf_dir, "orders").count()
-    return records.groupBy("n").agg(
-        F.concat(
-            F.lit(f'{{"found": {found}, "results": ['),
-            F.array_join(F.collect_list("j"), ","),
-            F.lit("]}"),
-        ).alias("page")
-    ).select("page")
+    records = F.when(F.col("p") == "2", record(F.col("o_custkey"))).otherwise(record(national))
+    return _pages(orders, records, table(spark, sf_dir, "orders").count())
+
+
+def weekly_pages(spark: SparkSession, sf_dir: str, later: bool) -> DataFrame:
+    """A load that keeps the registry contract; the later one has other rows and values."""
+    orders = _described_orders(spark, sf_dir).where("p <> '5'" if later else "p <> '1'")
+    moved = "when o_orderstatus = 'P' then 'in orbit'" if later else ""
+    registered = "p = '2'" if later else "p in ('2', '3')"
+    values = {
+        "International Designator": "concat(y, '-', lpad(k, 9, '0'), 'A')",
+        "National Designator": "''",
+        "Name of Space Object": "concat('Object ', k)",
+        "State of Registry": "concat('State ', o_custkey % 50)",
+        "Date of Launch": "d",
+        "Status": f"""case {moved} when o_orderstatus = 'F' then 'decayed'
+                           when o_orderstatus = 'O' then 'in orbit' else 'active' end""",
+        "Date of Decay": """case when o_orderstatus = 'F' and p = '4' then cast(date_add(o_orderdate, -10) as string)
+                                 when o_orderstatus = 'F' or p = '3' then cast(date_add(o_orderdate, 90) as string)
+                                 else '' end""",
+        "UN Registered": f"case when {registered} then 'T' else 'F' end",
+        "Function": "lower(o_orderpriority)",
+        "Remarks": "''",
+        "External website": "''",
+    }
+    fields = [F.expr(values[name]).alias(key) for key, name in FIELD_COLUMNS.items()]
+    return _pages(orders, F.to_json(F.struct(F.struct(*fields).alias("values"))), orders.count())
 
 
 def matching_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,3 +282,53 @@ def decorated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
              when 'SMALL' then concat('  ', p_name, chr(9), ' ii ;')
              else concat(p_name, ' [x] (y) I') end as name""",
     )
+
+
+# Whole catalogs for the contract queries; some values break a rule on purpose.
+GP_COLUMNS = {
+    "OBJECT_NAME": "case when p = '5' and o_orderstatus = 'P' then null else concat('OBJ ', k) end",
+    "OBJECT_ID": """case when p = '4' and o_orderstatus = 'P' then 'none'
+                         else concat(y, '-', lpad(k, 9, '0'), 'A') end""",
+    "EPOCH": "concat(d, 'T06:00:00')",
+    "MEAN_MOTION": "cast(o_custkey % 23 as double)",
+    "ECCENTRICITY": "cast(o_custkey % 11 as double) / 10",
+    "INCLINATION": "cast(o_custkey % 200 as double)",
+    "RA_OF_ASC_NODE": "cast(o_orderkey % 370 as double)",
+    "ARG_OF_PERICENTER": "cast(o_orderkey % 361 as double)",
+    "MEAN_ANOMALY": "cast(o_orderkey % 400 as double) - 10",
+    "EPHEMERIS_TYPE": "cast(case when p = '1' then -1 else 0 end as bigint)",
+    "CLASSIFICATION_TYPE": "case p when '1' then 'U' when '2' then 'C' when '3' then 'S' else 'X' end",
+    "NORAD_CAT_ID": "cast(o_orderkey - 5 as bigint)",
+    "ELEMENT_SET_NO": "cast(o_custkey - 5 as bigint)",
+    "REV_AT_EPOCH": "cast(o_orderkey % 7 - 1 as bigint)",
+    "BSTAR": "case when o_orderstatus = 'P' then null else cast(o_custkey as double) / 1000 end",
+    "MEAN_MOTION_DOT": "cast(0 as double)",
+    "MEAN_MOTION_DDOT": "cast(0 as double)",
+}
+SATCAT_COLUMNS = {
+    "OBJECT_NAME": "concat('OBJ ', k)",
+    "OBJECT_ID": "case when p = '5' then 'none' else concat(y, '-', lpad(k, 9, '0'), 'A') end",
+    "NORAD_CAT_ID": "cast(o_orderkey - 5 as bigint)",
+    "OBJECT_TYPE": "case p when '1' then 'PAY' when '2' then 'R/B' when '3' then 'DEB' else 'TBA' end",
+    "OPS_STATUS_CODE": "case p when '1' then '+' when '2' then 'p' when '3' then 'Q' end",
+    "OWNER": "case when o_orderstatus = 'P' then null else concat('OWN', o_custkey % 7) end",
+    "LAUNCH_DATE": """case when p = '2' and o_orderstatus = 'P' then date '1957-10-03'
+                           else o_orderdate end""",
+    "LAUNCH_SITE": "concat('SITE', o_custkey % 3)",
+    "DECAY_DATE": """case when o_orderstatus = 'F' then date '1957-10-04'
+                          when p = '1' then date '1950-01-01' end""",
+    "PERIOD": "cast(o_custkey % 100 as double) - 1",
+    "INCLINATION": "cast(o_custkey % 182 as double)",
+    "APOGEE": "cast(o_custkey % 9 - 1 as bigint)",
+    "PERIGEE": "cast(o_custkey % 5 as bigint)",
+    "RCS": "case when p = '3' then cast(-1 as double) end",
+    "DATA_STATUS_CODE": "case p when '1' then 'NEA' when '2' then 'nie' end",
+    "ORBIT_CENTER": "'EA'",
+    "ORBIT_TYPE": "case o_orderstatus when 'F' then 'LAN' when 'O' then 'ORB' else 'orb' end",
+}
+
+
+def whole_catalog(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
+    """All columns of a catalog, one row an order."""
+    described = _described_orders(spark, sf_dir)
+    return described.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])

@@ -44,20 +44,14 @@ def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[column(old).alias(new) for old, new in names.items()])
 
 
-REGISTRY_NAMES = {
-    "International Designator": "designator",
-    "National Designator": "national",
-    "Name of Space Object": "name",
-    "State of Registry": "state",
-    "Date of Launch": "launch",
-    "Status": "status",
-    "Date of Decay": "decay",
-    "UN Registered": "registered",
-    "Registration Documents": "documents",
-    "Function": "function",
-    "Remarks": "remarks",
-    "External website": "website",
-}
+#: Short names of the registry columns, in their order.
+REGISTRY_NAMES = dict(
+    zip(
+        pages.REGISTRY_SCHEMA.names,
+        "designator national name state launch status decay registered documents function"
+        " remarks website".split(),
+    )
+)
 
 
 # --- diff ---------------------------------------------------------------------------
@@ -352,6 +346,137 @@ def registry_violations(spark, sf):
     return contracts.violations(registry, REGISTRY)
 
 
+@query
+def gp_violations(spark, sf):
+    from starledger.plans.contracts import GP
+
+    return contracts.violation_summary(inputs.whole_catalog(spark, sf, inputs.GP_COLUMNS), GP)
+
+
+@query
+def satcat_violations(spark, sf):
+    from starledger.plans.contracts import SATCAT
+
+    return contracts.violation_summary(inputs.whole_catalog(spark, sf, inputs.SATCAT_COLUMNS), SATCAT)
+
+
+@query
+def canonical_violations(spark, sf):
+    from starledger.plans.contracts import CANONICAL
+
+    return contracts.violation_summary(_canonical(spark, sf, None), CANONICAL)
+
+
+@query
+def gp_csv(spark, sf):
+    """The whole GP catalog, written as CSV and read with declared types."""
+    from starledger.plans.contracts import GP
+
+    path = scratch_path(spark, "gp-csv")
+    inputs.whole_catalog(spark, sf, inputs.GP_COLUMNS).write.option("header", True).csv(path)
+    return catalogs.read_catalog(spark, path, GP.schema)
+
+
+@query
+def edge_space_counts(spark, sf):
+    return expectations.edge_space_counts(inputs.raw_registry(spark, sf))
+
+
+@query
+def snapshot_evolution(spark, sf):
+    """Two dates of one major version, the later one with an appended column."""
+    base = scratch_path(spark, "evolution")
+    spark._jvm.org.apache.hadoop.fs.FileSystem.get(
+        spark._jvm.java.net.URI(base), spark._jsparkSession.sessionState().newHadoopConf()
+    ).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(base))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    earlier, later = map(dt.date.fromisoformat, inputs.SNAPSHOT_DATES)
+    snapshots.save_snapshot(orders.drop("o_orderpriority"), earlier, base, version="1.0.0")
+    snapshots.save_snapshot(orders, later, base, version="1.1.0")
+    history = snapshots.load_history(spark, base, version="1.0.0")
+    return history.groupBy("snapshot_date", "o_orderstatus", "o_orderpriority").agg(
+        F.count("*").alias("n")
+    )
+
+
+def _weekly(spark: SparkSession, sf: str) -> DataFrame:
+    """Two weekly runs over landed pages; the later load has other states."""
+    from starledger.plans.weekly import weekly_ingest
+
+    base = scratch_path(spark, "weekly")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for folder in (f"{base}/snapshots", f"{base}/changes"):
+        fs.mkdirs(path(folder))
+    load = inputs.weekly_pages(spark, sf, later=False), inputs.weekly_pages(spark, sf, later=True)
+    days = [dt.date.fromisoformat(d) for d in inputs.SNAPSHOT_DATES]
+    for day, landed in zip(days, load):
+        last = weekly_ingest(
+            landed, day, f"{base}/snapshots", as_of_year=AS_OF_YEAR, changelog_base=f"{base}/changes"
+        )
+    return last
+
+
+@query
+def weekly_run(spark, sf):
+    """All reports of the second of two runs, as (report, name, passed, count)."""
+    last = _weekly(spark, sf)
+    reports = [
+        df.select(F.lit(label).alias("report"), "name", "passed", F.col("count").cast("long").alias("n"))
+        for label, df in (("expectations", last.expectations), ("drift", last.drift))
+    ]
+    counted = last.diff.counts.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit("diff").alias("report"), F.lit(c).alias("name"), F.lit(True).alias("passed"), F.col(c).alias("n"))
+                    for c in ("n_added", "n_removed", "n_modified_rows", "n_modified_changes")
+                ]
+            )
+        )
+    )
+    warned = last.warnings.groupBy(F.col("warning").alias("name")).agg(F.count("*").alias("n"))
+    warned = warned.select(F.lit("warnings").alias("report"), "name", F.lit(False).alias("passed"), "n")
+    return reports[0].unionByName(reports[1]).unionByName(counted).unionByName(warned)
+
+
+@query
+def changelog(spark, sf):
+    """Changed values that two weekly runs left in the changelog."""
+    last = _weekly(spark, sf)
+    logged = spark.read.parquet(last.changelog)
+    return logged.select(column("International Designator").alias("designator"), "column_name", "old_value", "new_value", "n_pairs")
+
+
+@query
+def contract_evolution(spark, sf):
+    """Changes between the contracts that two snapshots' values keep, by tier."""
+    before, after = (
+        _observed_contract(df)
+        for df in (inputs.previous_orders(spark, sf), inputs.current_orders(spark, sf))
+    )
+    found = contracts.contract_changes(before, after)
+    return spark.createDataFrame(found, "column_name string, change string, tier string")
+
+
+def _observed_contract(df: DataFrame) -> Contract:
+    """Value sets and ranges of all rows, as a contract; a handful of values by nature."""
+    row = df.agg(
+        F.sort_array(F.collect_set("o_orderpriority")), F.sort_array(F.collect_set("o_orderstatus")),
+        F.min("o_orderdate"), F.max("o_orderdate"),
+    ).first()
+    dates = (Rule("ge", row[2]), Rule("le", row[3]))
+    return Contract(
+        "orders",
+        "1.0.0",
+        (
+            Field("o_orderpriority", T.StringType(), rules=(Rule("isin", tuple(row[0])),)),
+            Field("o_orderstatus", T.StringType(), rules=(Rule("isin", tuple(row[1])),)),
+            Field("o_orderdate", T.DateType(), rules=dates),
+        ),
+    )
+
+
 @query
 def duplicate_keys(spark, sf):
     return contracts.duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -503,7 +628,6 @@ def _canonical(spark: SparkSession, sf: str, threshold: float | None) -> DataFra
         inputs.satcat(spark, sf),
         DAY,
         threshold,
-        keys_unique=True,
     ).rows
 
 

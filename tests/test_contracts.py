@@ -27,26 +27,25 @@ DAY = dt.date(2024, 1, 1)
 VALID = {
     "registry": (
         REGISTRY,
-        dict(zip(REGISTRY.columns, ("2024-001A", "C-1", "Sat", "USA", DAY, "active", None, True,
-                                    "ST/SG/SER.E/1", "comms", None, None))),
+        dict(zip(REGISTRY.columns, ("1998-067A", "N-77", "Lantern 4", "Norway", DAY, "in orbit", None, False,
+                                    "A/AC.105/INF.400", "weather", None, None))),
     ),
     "gp": (
         GP,
-        dict(zip(GP.columns, ("CALSPHERE 1", "1964-063C", "2026-04-24T09:14:32.367840", 13.765, 0.0028,
-                              90.2213, 70.5, 93.29, 5.62, 0, "U", 900, 999, 6402, 0.0006, 6e-06, 0.0))),
+        dict(zip(GP.columns, ("LANTERN 4", "1998-067A", "2031-01-02T03:04:05", 15.5, 0.25,
+                              51.5, 10.0, 20.0, 30.0, 0, "C", 4711, 12, 34, 0.125, 0.0, 0.0))),
     ),
     "satcat": (
         SATCAT,
-        dict(zip(SATCAT.columns, ("SL-1 R/B", "1957-001A", 1, "R/B", "D", "CIS", dt.date(1957, 10, 4),
-                                  "TYMSC", dt.date(1957, 12, 1), 96.19, 65.1, 938, 214, 20.42, None,
-                                  "EA", "IMP"))),
+        dict(zip(SATCAT.columns, ("LANTERN 4 DEB", "1998-067B", 4712, "DEB", "-", "NOR", dt.date(1998, 11, 20),
+                                  "SVA", None, 92.5, 51.5, 420, 410, None, None, "EA", "ORB"))),
     ),
     "canonical": (
         CANONICAL,
-        dict(zip(CANONICAL.columns, ("2024-001A", 58000, "T-1", "T-1", "United States", "USA", DAY, DAY,
-                                     "active", None, True, "ST/SG/SER.E/2", "comms", 15.5, 0.001, "LEO",
+        dict(zip(CANONICAL.columns, ("1998-067A", 4711, "Lantern 4", "LANTERN 4", "Norway", "NOR", DAY, DAY,
+                                     "in orbit", None, False, "A/AC.105/INF.400", "weather", 15.5, 0.25, "LEO",
                                      None, "cospar", None, "high", "both", None, None,
-                                     dt.date(2026, 4, 24)))),
+                                     dt.date(2031, 1, 2)))),
     ),
 }
 
