@@ -6,10 +6,11 @@ A pair can pass for two reasons, and each has its own complete filter.
    share of it, so among its rarest tokens up to that weight one must be shared. Names
    meet on such a token; common tokens stay out unless a name has nothing rarer.
 2. The two rests are alike letter by letter. The score bounds the letters each side may
-   drop. Short names list what is left after dropping up to that many letters and meet
-   on equal leftovers, so a family of names that differ in a number meets only where the
-   numbers are close. For longer names the list would grow too fast: they meet on one of
-   their rarest letter pairs, as many as the allowed edits could destroy and one more.
+   drop. A dropped letter destroys at most two letter pairs of its name, an inserted one at
+   most one, so of e destroyable pairs all others are common. With one order of all letter
+   pairs, rarest first, two names that have at least two pairs in common have two of them
+   among the first e + 2 of each side. Names of all lengths meet on two of those at once,
+   and only what then has enough letter pairs in common is scored.
 
 Both sides hold distinct token keys, so copies of a name count once. No candidate list is
 capped, and every candidate is scored exactly.
@@ -17,20 +18,18 @@ capped, and every candidate is scored exactly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from functools import reduce
-from itertools import combinations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starledger.functions.similarity import token_set_score
 from starledger.sources.shared import materialize
 
-# Longest name that lists its leftovers: at most about 1,400 per token order.
-SHORT_NAME = 20
+# Letter pairs that two names must meet on at once.
+MEETING = 2
 
 
 def _spread(df: DataFrame, *by: str) -> DataFrame:
@@ -94,57 +93,17 @@ def _mostly_shared(left: DataFrame, right: DataFrame, counts: DataFrame, thresho
     return probes.join(entries, "part").where(near).select("l", "r")
 
 
-def _leftovers(name: str, cuts: Iterable[int]) -> dict[str, int]:
-    """Sorted tokens of `name` after dropping letters, with the fewest drops for each.
-
-    `cuts` lists the numbers of drops to try. Dropping the space between two tokens joins
-    them; as shared tokens may stand between two others, any two can be joined.
-    """
-    found: dict[str, int] = {}
-    orders = {tuple(name.split(" "))}
-    wanted = sorted(cuts)
-    for joins in range(wanted[-1] + 1 if wanted else 0):
-        for order in orders:
-            text = " ".join(order)
-            letters = [i for i, ch in enumerate(text) if ch != " "]
-            for cut in wanted:
-                if cut < joins:
-                    continue
-                for dropped in combinations(letters, cut - joins):
-                    pieces, start = [], 0
-                    for i in dropped:
-                        pieces.append(text[start:i])
-                        start = i + 1
-                    left = "".join(pieces) + text[start:]
-                    if " " in left:
-                        left = " ".join(sorted(left.split()))
-                    found[left] = min(cut, found.get(left, cut))
-        orders = {
-            t[:i] + (t[i] + t[j],) + t[i + 1 : j] + t[j + 1 :]
-            for t in orders
-            for i in range(len(t))
-            for j in range(i + 1, len(t))
-        }
-    return found
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _leftover_lists(names: pd.Series, cuts: pd.Series) -> pd.Series:
-    """Leftovers as "drops|text"; plain strings cross to the JVM much faster than structs."""
-    return pd.Series(
-        [[f"{n}|{left}" for left, n in _leftovers(*nc).items()] for nc in zip(names, cuts)]
-    )
-
-
-def _feasible(n: int, others: Iterable[int], threshold: float) -> list[tuple[int, int]]:
-    """(own drops, other's drops) that keep a pair with own length `n` above threshold."""
-    pairs = set()
+def _most_destroyed(n: int, others: Iterable[int], threshold: float) -> int | None:
+    """Most letter pairs that edits may destroy in a name of length `n`, None if no pair fits."""
+    most = None
     for m in others:
-        for own in range(n + 1):
-            other = m - n + own
-            if other >= 0 and own + other < (1 - threshold) * (n + m) - 1e-9:
-                pairs.add((own, other))
-    return sorted(pairs)
+        # own + other drops stay below this number, and own - other is n - m.
+        edits = math.ceil((1 - threshold) * (n + m) - 1e-9) - 1
+        own = min((edits + n - m) // 2, n)
+        other = own - (n - m)
+        if own >= 0 and other >= 0:
+            most = max(most or 0, 2 * own + other)
+    return most
 
 
 def _lengths(names: DataFrame) -> list[int]:
@@ -152,36 +111,12 @@ def _lengths(names: DataFrame) -> list[int]:
     return [r[0] for r in names.select(F.length("name")).distinct().collect()]
 
 
-def _by_length(values: dict[int, list[int] | int], empty: Column) -> Column:
-    """Look up a per-length value for column `name`."""
-    entries = [x for n, v in sorted(values.items()) for x in (F.lit(n), F.lit(v))]
+def _by_length(values: dict[int, int]) -> Column:
+    """Look up a per-length number for column `name`; null where there is none."""
+    entries = [F.lit(x) for pair in sorted(values.items()) for x in pair]
     if not entries:
-        return empty
-    return F.coalesce(F.try_element_at(F.create_map(*entries), F.length("name")), empty)
-
-
-def _alike_short(left: DataFrame, right: DataFrame, lengths, threshold: float) -> DataFrame:
-    """Pairs of short names with a common leftover."""
-    sizes = [[n for n in side if n <= SHORT_NAME] for side in lengths]
-
-    def keyed(names: DataFrame, own: list[int], other: list[int], out: str) -> DataFrame:
-        cuts = {n: sorted({a for a, _ in _feasible(n, other, threshold)}) for n in own}
-        cuts = {n: c for n, c in cuts.items() if c}
-        short = names.where(F.length("name") <= SHORT_NAME).withColumn(
-            "_cuts", _by_length(cuts, F.array().cast("array<int>"))
-        )
-        listed = _spread(short.where(F.size("_cuts") > 0), "name").withColumn(
-            "_left", _leftover_lists("name", "_cuts")
-        )
-        return listed.select(F.col("name").alias(out), F.explode("_left").alias("_left")).select(
-            out,
-            F.xxhash64(F.expr("substring(_left, instr(_left, '|') + 1)")).alias("_key"),
-            F.substring_index("_left", "|", 1).cast("int").alias(f"{out}_cut"),
-        )
-
-    pairs = keyed(left, *sizes, "l").join(keyed(right, *sizes[::-1], "r"), "_key")
-    bound = (F.length("l") + F.length("r")) * (1 - threshold) - 1e-9
-    return pairs.where(F.col("l_cut") + F.col("r_cut") < bound).select("l", "r")
+        return F.lit(None).cast("int")
+    return F.try_element_at(F.create_map(*entries), F.length("name"))
 
 
 def _letter_pairs(name: Column) -> Column:
@@ -202,42 +137,63 @@ def _letter_pairs(name: Column) -> Column:
     )
 
 
-def _alike_long(left: DataFrame, right: DataFrame, lengths, threshold: float) -> DataFrame:
-    """Pairs with a long name that share one of their rarest letter pairs.
-
-    A dropped letter destroys at most two letter pairs of a name, an inserted one at most
-    one, which bounds how many of the rarest have to be tried.
-    """
-    parts = _letter_pairs(F.col("name"))
-    longest = max([0, *lengths[0], *lengths[1]])
-    floor = min((n for n in range(1, longest + 1) if _reaches(n, threshold)), default=longest + 1)
-    names = [side.where(F.length("name") >= floor) for side in (left, right)]
-    counts = _part_counts(*names, parts)
-
-    def probes(side: DataFrame, own: list[int], other: list[int], out: str) -> DataFrame:
-        sizes = {}
-        for n in own:
-            edits = _feasible(n, [m for m in other if max(n, m) > SHORT_NAME], threshold)
-            if edits:
-                sizes[n] = max(2 * a + b for a, b in edits) + 1
-        ranked = _rarest_first(side, parts, counts)
-        return ranked.select(
-            F.col("name").alias(out),
-            F.explode(F.slice("parts", F.lit(1), _by_length(sizes, F.lit(0)))).alias("part"),
+def _meeting_keys(prefix: Column, size: int) -> Column:
+    """Hashes of all choices of `size` (1 or 2) parts of an array, in its order."""
+    if size == 1:
+        return F.transform(prefix, lambda part: F.xxhash64(part))
+    return F.flatten(
+        F.transform(
+            prefix,
+            lambda part, i: F.transform(
+                F.slice(prefix, i + 2, F.size(prefix)), lambda later: F.xxhash64(part, later)
+            ),
         )
+    )
 
-    l_probes = probes(names[0], *lengths, "l")
-    r_probes = probes(names[1], *lengths[::-1], "r")
-    n, m = F.length("l"), F.length("r")
-    close = F.abs(n - m) < (1 - threshold) * (n + m)
-    long_pair = F.greatest(n, m) > SHORT_NAME
-    return l_probes.join(r_probes, "part").where(close & long_pair).select("l", "r")
 
+def _ranked_pairs(names: DataFrame) -> DataFrame:
+    """Hashes of each name's letter pairs, rarest first, as a written table."""
+    exploded = names.select("name", F.explode(_letter_pairs(F.col("name"))).alias("part"))
+    exploded = materialize(exploded.select("name", F.xxhash64("part").alias("part")), "letter-pairs")
+    counts = exploded.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    ranked = exploded.join(counts, "part").groupBy("name").agg(
+        F.sort_array(F.collect_list(F.struct("n", "part"))).alias("_ranked")
+    )
+    return materialize(ranked.select("name", F.col("_ranked.part").alias("parts")), "ranked-pairs")
+
+
+def _alike(left: DataFrame, right: DataFrame, lengths, threshold: float) -> DataFrame:
+    """Pairs that have so many letter pairs in common that the score may pass."""
+    ranked = _ranked_pairs(left.select("name").union(right.select("name")).distinct())
+
+    def keyed(side: DataFrame, own: list[int], other: list[int], out: str) -> DataFrame:
+        sizes = {n: _most_destroyed(n, other, threshold) for n in own}
+        sizes = {n: e for n, e in sizes.items() if e is not None}
+        rows = ranked.join(side, "name", "left_semi").withColumn("_e", _by_length(sizes))
+        rows = _spread(rows.where("_e is not null"), "name")
+        # A name that keeps fewer than MEETING pairs for sure also meets on single ones.
+        keys = [
+            F.when(
+                F.lit(size == MEETING) | (F.size("parts") - F.col("_e") < MEETING),
+                _meeting_keys(F.slice("parts", F.lit(1), F.col("_e") + size), size),
+            )
+            for size in range(1, MEETING + 1)
+        ]
+        listed = F.flatten(F.array_compact(F.array(*keys)))
+        return rows.select(F.col("name").alias(out), F.explode(listed).alias("_key"))
 
-def _reaches(n: int, threshold: float) -> bool:
-    """Whether a name of length n can be alike to one longer than SHORT_NAME."""
-    m = SHORT_NAME + 1
-    return n > SHORT_NAME or m - n < (1 - threshold) * (n + m) - 1e-9
+    n, m = F.length("l"), F.length("r")
+    close = F.abs(n - m) < (1 - threshold) * (n + m)
+    met = keyed(left, *lengths, "l").join(keyed(right, *lengths[::-1], "r"), "_key")
+    pairs = met.where(close).select("l", "r").distinct()
+    for out in "lr":
+        own_parts = ranked.select(F.col("name").alias(out), F.col("parts").alias(f"{out}_parts"))
+        pairs = pairs.join(own_parts, out)
+    # What the edits of this very pair of lengths may destroy on the left side.
+    edits = F.ceil((n + m) * (1 - threshold) - 1e-9) - 1
+    own = F.floor((edits + n - m) / 2)
+    common = F.size(F.array_intersect("l_parts", "r_parts"))
+    return pairs.where(common >= F.size("l_parts") - (3 * own - (n - m))).select("l", "r")
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -253,10 +209,8 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     pairs = [
         _mostly_shared(left, right, counts, threshold),
         swapped.select(F.col("r").alias("l"), F.col("l").alias("r")),
-        _alike_short(left, right, lengths, threshold),
+        _alike(left, right, lengths, threshold),
     ]
-    if any(n > SHORT_NAME for side in lengths for n in side):
-        pairs.append(_alike_long(left, right, lengths, threshold))
     found = _spread(reduce(DataFrame.unionAll, pairs), "l", "r").distinct()
     scored = found.withColumn("score", token_set_score("l", "r"))
     return scored.where(F.col("score") > threshold)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from starledger.functions.similarity import _score
 from starledger.operators import analysis
-from starledger.operators.candidates import accepted_pairs, mutual_best, similar_names
+from starledger.operators.candidates import _alike, accepted_pairs, mutual_best, similar_names
 from starledger.operators.contracts import duplicate_keys, validate
 from starledger.operators.match import (
     Side,
@@ -102,6 +102,40 @@ def test_similar_names_find_every_pair(spark, threshold):
     }
 
 
+def test_long_and_edited_names_are_found(spark):
+    rng = random.Random(5)
+    letters = "abcdefgh12"
+
+    def edited(name):
+        out = list(name)
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(out))
+            out[at : at + rng.randint(0, 1)] = rng.choice(["", rng.choice(letters), " "])
+        return "".join(out)
+
+    def words(n):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(n))
+
+    base = [words(rng.randint(1, 9)) for _ in range(80)]
+    pools = [{" ".join(sorted(set(n.split()))) for n in names} - {""} for names in (base, map(edited, base * 2))]
+    assert max(map(len, pools[0])) > 50
+    frames = [spark.createDataFrame([(n,) for n in sorted(names)], "name string") for names in pools]
+    found = {(r.l, r.r) for r in similar_names(*frames, 0.9).collect()}
+    assert found == {(a, b) for a in pools[0] for b in pools[1] if _score(a, b) > 0.9}
+
+
+def test_unlike_long_names_give_few_candidates(spark):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(2000)]
+    counted = []
+    for n in (500, 1000):
+        pools = [{" ".join(sorted(rng.sample(vocabulary, 5))) for _ in range(n)} for _ in "lr"]
+        frames = [spark.createDataFrame([(x,) for x in sorted(p)], "name string") for p in pools]
+        lengths = [sorted({len(x) for x in p}) for p in pools]
+        counted.append(_alike(*frames, lengths, 0.9).count())
+    assert counted[0] <= 500 and counted[1] <= 1000
+
+
 def test_mutual_best(spark):
     pairs = [("a", "x", 0.95), ("a", "y", 0.99), ("b", "y", 0.97), ("b", "x", 0.91), ("c", "x", 0.95)]
     df = spark.createDataFrame(pairs, "l string, r string, score double")
