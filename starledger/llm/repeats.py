@@ -40,8 +40,8 @@ BITS = 28
 SEGMENT_BITS = 20
 #: Bytes of text that stand for one word when the sketch is sized.
 WORD_BYTES = 6
-#: Windows a task holds before it hands them on.
-HELD = 1 << 22
+#: Windows that a task sketches at once, and candidates that it settles at once.
+HELD, SETTLED = 1 << 22, 1 << 20
 
 
 def counters(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -83,14 +83,16 @@ def _sketch(batches: Iterator[pa.RecordBatch], window: int, bits: int) -> Iterat
 
 def _sketched(hashes: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     for row in range(DEPTH):
-        numbers = np.sort(counters(hashes, row, bits)).astype(np.int64)
+        numbers = np.sort(counters(hashes, row, bits))
         third = np.zeros(len(numbers), bool)
         third[2:] = numbers[2:] == numbers[:-2]
         numbers = numbers[~third]
         starts = np.arange(0, (1 << bits) + 1, 1 << SEGMENT_BITS)
         cuts = np.searchsorted(numbers, starts)
         segments = np.flatnonzero(np.diff(cuts))
-        blobs = [gaps(numbers[cuts[s] : cuts[s + 1]] - starts[s]) for s in segments]
+        blobs = [
+            gaps(numbers[cuts[s] : cuts[s + 1]].astype(np.int64) - starts[s]) for s in segments
+        ]
         named = segments + (row << (bits - SEGMENT_BITS))
         arrays = [pa.array(named.astype(np.int32)), pa.array(blobs, pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["segment", "counts"])
@@ -167,7 +169,7 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
                 known = valid[row]
                 held.append((hashes[kept][known], ids[row[known]]))
                 size += len(held[-1][0])
-                if size >= HELD:
+                if size >= SETTLED:
                     yield _settled(held)
                     held, size = [], 0
         if size:
