@@ -8,9 +8,9 @@ A pair can pass for two reasons, and each has its own complete filter.
 2. The two rests are alike letter by letter. The score bounds the letters each side may
    drop. A dropped letter destroys at most two letter pairs of its name, an inserted one at
    most one, so of e destroyable pairs all others are common. With one order of all letter
-   pairs, rarest first, two names that have at least two pairs in common have two of them
-   among the first e + 2 of each side. Names of all lengths meet on two of those at once,
-   and only what then has enough letter pairs in common is scored.
+   pairs, rarest first, two names that have at least three pairs in common have three of
+   them among the first e + 3 of each side. Names of all lengths meet on three of those at
+   once, and only what then has enough letter pairs in common is scored.
 
 Both sides hold distinct token keys, so copies of a name count once. No candidate list is
 capped, and every candidate is scored exactly.
@@ -29,7 +29,7 @@ from starledger.functions.similarity import token_set_score
 from starledger.sources.shared import materialize
 
 # Letter pairs that two names must meet on at once.
-MEETING = 2
+MEETING = 3
 
 
 def _spread(df: DataFrame, *by: str) -> DataFrame:
@@ -138,17 +138,15 @@ def _letter_pairs(name: Column) -> Column:
 
 
 def _meeting_keys(prefix: Column, size: int) -> Column:
-    """Hashes of all choices of `size` (1 or 2) parts of an array, in its order."""
+    """Hashes of all choices of `size` parts of an array, in its order."""
     if size == 1:
         return F.transform(prefix, lambda part: F.xxhash64(part))
-    return F.flatten(
-        F.transform(
-            prefix,
-            lambda part, i: F.transform(
-                F.slice(prefix, i + 2, F.size(prefix)), lambda later: F.xxhash64(part, later)
-            ),
-        )
-    )
+
+    def following(part: Column, i: Column) -> Column:
+        rest = F.slice(prefix, i + 2, F.size(prefix))
+        return F.transform(_meeting_keys(rest, size - 1), lambda key: F.xxhash64(part, key))
+
+    return F.flatten(F.transform(prefix, following))
 
 
 def _ranked_pairs(names: DataFrame) -> DataFrame:
@@ -217,12 +215,14 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
 
 
 def mutual_best(pairs: DataFrame) -> DataFrame:
-    """Pairs in which each name is the other's best: highest score, then smaller name.
+    """Pairs in which each name is the other's best: highest score, then smallest pair hash.
 
-    The best partner is an aggregate, so no list of partners is ever gathered.
+    The best partner is an aggregate, so no list of partners is ever gathered. Ties go by
+    a hash because names in order would wait for each other in long chains.
     """
-    best_r = pairs.groupBy("l").agg(F.min(F.struct(-F.col("score"), "r")).alias("_b"))
-    best_l = pairs.groupBy("r").agg(F.min(F.struct(-F.col("score"), "l")).alias("_b"))
+    order = (-F.col("score"), F.xxhash64("l", "r"))
+    best_r = pairs.groupBy("l").agg(F.min(F.struct(*order, "r")).alias("_b"))
+    best_l = pairs.groupBy("r").agg(F.min(F.struct(*order, "l")).alias("_b"))
     return best_r.select("l", F.col("_b.r").alias("r"), (-F.col("_b.col1")).alias("score")).join(
         best_l.select(F.col("_b.l").alias("l"), "r"), ["l", "r"]
     )
