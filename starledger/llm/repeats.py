@@ -41,7 +41,7 @@ SEGMENT_BITS = 20
 #: Bytes of text that stand for one word when the sketch is sized.
 WORD_BYTES = 6
 #: Windows that a task sketches at once, and candidates that it settles at once.
-HELD, SETTLED = 1 << 22, 1 << 20
+HELD, SETTLED = 1 << 21, 1 << 20
 
 
 def counters(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
