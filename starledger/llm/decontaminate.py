@@ -1,18 +1,24 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters, digits and non-ASCII characters, compared in lower case. The
-seeds of a benchmark item are its SEED-word sequences that occur in at most RARE items, and
-in any case its KEEP rarest ones. A document that shares a seed with an item is aligned
-with it around the seed's diagonal: local alignment of words with affine-free gaps, MATCH
-for equal words, MISMATCH and GAP otherwise. A document is contaminated by an item when
+seeds of a benchmark item are all its SEED-word sequences, however many items have them. A
+document that shares a seed with an item is aligned with it around the seed's diagonal:
+local alignment of words with affine-free gaps, MATCH for equal words, MISMATCH and GAP
+otherwise. A document is contaminated by an item when
 
 - the alignment's score is at least SHARE of the score of the whole item, or
-- it aligns RUN equal words or more, with at least PURITY of the aligned words equal.
+- it aligns RUN equal words or more, with at least PURITY of the aligned words equal. Such
+  words always hold SEED of them in a row, so none of these is lost.
+
+Common sequences give many candidates: their scores alone are computed first, many at once,
+and only those that can reach a limit are aligned word by word.
 
 Items of fewer words than SEED are one seed and must be found whole. Empty items and
 documents, and null texts, match nothing. The benchmark is cut into blocks of BLOCK_SEEDS
 seeds; every block is a bounded broadcast and passes over all documents once, so a
-benchmark of any size works. Copies of a document are each reported; an item that repeats with its id counts once.
+benchmark of any size works. Copies of a document are each reported. Items of the same words
+are searched once and reported under each of their ids; an item that repeats with its id
+counts once.
 """
 
 from __future__ import annotations
@@ -23,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starledger.llm.base import map_arrow, quoted, texts_of
@@ -31,8 +36,6 @@ from starledger.llm.words import PUNCTUATION, WordHasher
 from starledger.sources.shared import materialize
 
 SEED = 4
-RARE = 8
-KEEP = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 SHARE = 0.5
 RUN, PURITY = 13, 0.8
@@ -40,6 +43,9 @@ RUN, PURITY = 13, 0.8
 SLACK = 16
 #: Seeds of one broadcast: some 30 MB with the words of their items.
 BLOCK_SEEDS = 500_000
+#: Hits of seeds that are held at once, and cells of the tables that are filled at once.
+HITS = 1 << 18
+CELLS = 1 << 16
 
 FOUND = (
     "doc_id long, item_id long, score double, n_equal int, n_aligned int,"
@@ -83,20 +89,6 @@ def item_seeds(items: DataFrame, item_id: str = "item_id", text: str = "text") -
     return map_arrow(rows, run, "item_id long, words array<bigint>, grams array<bigint>, size int")
 
 
-def rare_seeds(items: DataFrame) -> DataFrame:
-    """The seeds that are searched for, by item; `items` as from `item_seeds`."""
-    grams = items.select("item", "size", F.posexplode("grams").alias("at", "gram"))
-    spread = grams.groupBy("gram").agg(F.countDistinct("item").alias("n_items"))
-    # Grams on few partitions by item: an item is bounded, the benchmark is not.
-    order = W.partitionBy("item").orderBy("n_items", "at")
-    return (
-        grams.join(spread, "gram")
-        .withColumn("place", F.row_number().over(order))
-        .where((F.col("n_items") <= RARE) | (F.col("place") <= KEEP))
-        .select("item", "gram", "at", "size")
-    )
-
-
 def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contaminated pairs: doc_id, item_id, score (share of the item's own), counts, words.
 
@@ -105,15 +97,14 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     items = item_seeds(benchmark).where("item_id is not null")
-    items = items.withColumn("item", F.xxhash64("item_id", "words")).dropDuplicates(["item"])
-    items = materialize(items, "benchmark-items")
     seeds = materialize(
-        rare_seeds(items).groupBy("item").agg(
-            F.collect_list(F.struct("gram", "at", "size")).alias("seeds")
-        ).join(items.select("item", "item_id", "words"), "item"),
+        items.groupBy(F.xxhash64("words").alias("item")).agg(
+            *[F.first(c).alias(c) for c in ("words", "grams", "size")],
+            F.collect_set("item_id").alias("item_ids"),
+        ),
         "benchmark-seeds",
-    )
-    total = seeds.agg(F.sum(F.size("seeds"))).first()[0] or 0
+    )
+    total = seeds.agg(F.sum(F.size("grams") + F.size("item_ids"))).first()[0] or 0
     blocks = -(-total // BLOCK_SEEDS) or 1
     rows = documents.select(quoted("doc_id").alias("doc_id"), quoted("text").alias("text"))
     found = None
@@ -127,13 +118,16 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _search(spark, rows: DataFrame, seeds: DataFrame) -> DataFrame:
     known = seeds.collect()  # at most about BLOCK_SEEDS seeds
     words = [np.array(row.words, np.int64).view(np.uint64) for row in known]
-    flat = [(s.gram, i, s["at"], s["size"]) for i, row in enumerate(known) for s in row.seeds]
+    flat = [
+        (gram, i, at, row["size"])
+        for i, row in enumerate(known) for at, gram in enumerate(row.grams)
+    ]
     flat.sort()
     grams = np.array([x[0] for x in flat], np.int64).view(np.uint64)
     order = np.argsort(grams, kind="stable")
     columns = [np.array([x[k] for x in flat], np.int64)[order] for k in (1, 2, 3)]
     model = spark.sparkContext.broadcast(
-        ([row.item_id for row in known], words, grams[order], *columns)
+        ([row.item_ids for row in known], words, grams[order], *columns)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,32 +152,57 @@ class Search:
 
     def __init__(self, item_ids, words, grams, item, at, size):
         self.item_ids, self.words = item_ids, words
-        self.grams, self.item, self.at = grams, item, at
+        self.item, self.at = item, at
+        self.lengths = np.array([len(x) for x in words], np.int64)
+        self.firsts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.concatenate([*words, np.zeros(1, np.uint64)])
         self.sizes = sorted(set(size.tolist()))
+        self.grams, which, self.spread = np.unique(grams, return_inverse=True, return_counts=True)
+        #: Seeds go by gram, then item, so those of a range of items are found by this key.
+        self.key = which * len(words) + item
         #: A small table over some bits of the grams rules out most of a document at once.
         self.filter = np.zeros(1 << 22, bool)
         self.filter[grams >> np.uint64(42)] = True
 
     def leaks(self, hasher: WordHasher, part) -> list[tuple]:
-        starts, ends, owner = [], [], []
+        grams, places = [], []
         for size in self.sizes:
-            at, grams = hasher.windows(part.hash, part.doc, size, salt=size)
-            maybe = np.flatnonzero(self.filter[grams >> np.uint64(42)])
-            low = np.searchsorted(self.grams, grams[maybe], side="left")
-            high = np.searchsorted(self.grams, grams[maybe], side="right")
-            hit = high > low
-            low, high, place = low[hit], high[hit], at[maybe[hit]]
-            n = high - low
-            seed = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-            place = np.repeat(place, n)
-            owner.append(self.item[seed])
-            starts.append(place - self.at[seed])
-            ends.append(place)
-        item, start, place = (np.concatenate(x) for x in (owner, starts, ends)) if owner else (
-            np.zeros(0, np.int64),) * 3
-        if not len(item):
+            at, found = hasher.windows(part.hash, part.doc, size, salt=size)
+            maybe = np.flatnonzero(self.filter[found >> np.uint64(42)])
+            gram = np.minimum(np.searchsorted(self.grams, found[maybe]), len(self.grams) - 1)
+            hit = self.grams[gram] == found[maybe]
+            grams.append(gram[hit])
+            places.append(at[maybe[hit]])
+        if not sum(map(len, places)):
             return []
-        doc = part.doc[place]
+        gram, place = np.concatenate(grams), np.concatenate(places)
+        order = np.argsort(part.doc[place], kind="stable")
+        gram, place = gram[order], place[order]
+        bounds = np.concatenate([[0], np.cumsum(part.counts())])
+        out = []
+        for item, at, hit in self._hits(gram, place, part.doc[place]):
+            out += self._aligned(item, hit - at, part.doc[hit], part, bounds)
+        return out
+
+    def _hits(self, gram, place, doc):
+        """Item, place in it and in the documents, of the hits of some documents and items."""
+        n = self.spread[gram]
+        new = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        before = (np.cumsum(n) - n)[new] // HITS
+        edges = np.append(new[np.flatnonzero(np.append(True, before[1:] != before[:-1]))], len(doc))
+        for a, b in zip(edges, edges[1:]):
+            # A single document may have more hits: then its items are taken in turns.
+            turns = min(-(-int(n[a:b].sum()) // HITS), len(self.words))
+            cuts = np.linspace(0, len(self.words), turns + 1).astype(np.int64)
+            own = gram[a:b] * len(self.words)
+            for first, end in zip(cuts, cuts[1:]):
+                low = np.searchsorted(self.key, own + first)
+                m = np.searchsorted(self.key, own + end) - low
+                seed = np.repeat(low - np.cumsum(m) + m, m) + np.arange(m.sum())
+                if len(seed):
+                    yield self.item[seed], self.at[seed], np.repeat(place[a:b], m)
+
+    def _aligned(self, item, start, doc, part, bounds) -> list[tuple]:
         order = np.lexsort((start, item, doc))
         doc, item, start = doc[order], item[order], start[order]
         # One search region per document, item and bundle of near diagonals.
@@ -191,20 +210,58 @@ class Search:
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > SLACK)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(doc)) - 1
-        bounds = np.concatenate([[0], np.cumsum(part.counts())])
+        doc, item = doc[first], item[first]
+        low = np.maximum(start[first] - SLACK, bounds[doc])
+        high = np.minimum(start[last] + self.lengths[item] + SLACK, bounds[doc + 1])
+        scores = best_scores(self.flat, self.firsts[item], self.lengths[item], part.hash, low, high)
         best: dict[tuple[int, int], tuple] = {}
-        for a, b in zip(first, last):
-            d, i, words = int(doc[a]), int(item[a]), self.words[item[a]]
-            low = max(int(start[a]) - SLACK, int(bounds[d]))
-            high = min(int(start[b]) + len(words) + SLACK, int(bounds[d + 1]))
-            found = align(words, part.hash[low:high])
+        for k in np.flatnonzero(scores >= least_score(self.lengths[item])):
+            d, i, words = int(doc[k]), int(item[k]), self.words[item[k]]
+            found = align(words, part.hash[low[k] : high[k]])
             if is_leak(len(words), *found[:3]):
                 score = found[0] / (MATCH * len(words))
-                offset = low - int(bounds[d])
+                offset = int(low[k] - bounds[d])
                 row = (score, found[1], found[2], offset + found[3], offset + found[4])
                 if best.get((d, i), (-1,))[0] < score:
                     best[d, i] = row
-        return [(part.first + d, self.item_ids[i], *row) for (d, i), row in best.items()]
+        return [
+            (part.first + d, item_id, *row)
+            for (d, i), row in best.items() for item_id in self.item_ids[i]
+        ]
+
+
+def least_score(n_words: np.ndarray) -> np.ndarray:
+    """No alignment below this score is a leak."""
+    run = RUN * (MATCH + (1 / PURITY - 1) * max(MISMATCH, GAP))
+    return np.where(n_words < SEED, MATCH * n_words, np.minimum(SHARE * MATCH * n_words, run))
+
+
+def best_scores(flat, firsts, lengths, hashes, low, high) -> np.ndarray:
+    """Scores of the best local alignments of items in `flat` with `hashes[low:high]`."""
+    wide, scores, done = high - low, np.zeros(len(low), np.int32), 0
+    order = np.lexsort((lengths, -wide))
+    while done < len(order):
+        m = int(wide[order[done]])
+        some = order[done : done + max(1, CELLS // (m + 1))]
+        done += len(some)
+        at = low[some] + np.arange(m)[:, None]
+        inside = at < high[some]
+        b = hashes[np.minimum(at, len(hashes) - 1)]
+        steps = np.arange(m + 1, dtype=np.int32)[:, None] * np.int32(-GAP)
+        table, best = np.zeros((m + 1, len(some)), np.int32), np.zeros(len(some), np.int32)
+        for k in range(int(lengths[some].max())):
+            word = flat[np.minimum(firsts[some] + k, len(flat) - 1)]
+            same = (b == word) & inside & (k < lengths[some])
+            row = table[:-1] + np.where(same, np.int32(MATCH), np.int32(MISMATCH))
+            np.maximum(row, table[1:] + np.int32(GAP), out=row)
+            table[1:] = np.maximum(row, 0, out=row)
+            # As in `align`: a gap in b by a running maximum.
+            table += steps
+            np.maximum.accumulate(table, axis=0, out=table)
+            table -= steps
+            np.maximum(best, table.max(axis=0), out=best)
+        scores[some] = best
+    return scores
 
 
 def is_leak(n_words: int, score: int, equal: int, aligned: int) -> bool:

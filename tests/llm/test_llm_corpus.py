@@ -281,6 +281,36 @@ def test_blocks_of_seeds_find_the_same(spark, monkeypatch):
     assert decontaminate.find_leaks(docs.limit(0), items).collect() == []
 
 
+def test_scores_of_many_equal_single_alignments(monkeypatch):
+    monkeypatch.setattr(decontaminate, "CELLS", 100)
+    rng = np.random.default_rng(9)
+    text, flat = rng.integers(0, 4, 400), rng.integers(0, 4, 300)
+    firsts, lengths = rng.integers(0, 270, 80), rng.integers(1, 30, 80)
+    low = rng.integers(0, 380, 80)
+    high = np.minimum(low + rng.integers(1, 60, 80), 400)
+    scores = decontaminate.best_scores(flat, firsts, lengths, text, low, high)
+    for f, n, a, b, score in zip(firsts, lengths, low, high, scores):
+        assert score == decontaminate.align(flat[f : f + n], text[a:b])[0]
+
+
+@pytest.mark.parametrize("hits", [1 << 18, 50])
+def test_parts_that_many_items_share_are_found(spark, monkeypatch, hits):
+    monkeypatch.setattr(decontaminate, "HITS", hits)
+    copied = [f"c{i}" for i in range(40)]
+    passage = [f"p{i}" for i in range(60)]
+    items = [(i, " ".join(copied)) for i in range(12)]
+    items += [(100 + i, " ".join(passage + [f"q{i}x{k}" for k in range(15)])) for i in range(12)]
+    edited = copied[14:30]
+    edited[4] = edited[9] = edited[13] = "other"  # 13 of 16 words are equal
+    docs = [(1, " ".join(["x"] * 50 + copied[20:34] + ["y"] * 50)), (2, " ".join(passage)),
+            (3, " ".join(edited)), (4, "x y z " + " ".join(copied[20:24]))]
+    found = decontaminate.find_leaks(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    truth = [(d, i) for d in (1, 3) for i in range(12)] + [(2, 100 + i) for i in range(12)]
+    assert sorted((r.doc_id, r.item_id) for r in found) == sorted(truth)
+
+
 # --- token files and packing ------------------------------------------------------------
 
 
