@@ -6,7 +6,8 @@ document that shares a seed with an item is aligned with it around the seed's di
 local alignment of words with affine-free gaps, MATCH for equal words, MISMATCH and GAP
 otherwise. A document is contaminated by an item when
 
-- the alignment's score is at least SHARE of the score of the whole item, or
+- the alignment's score is at least SHARE of the score of the whole item, and LEAST words or
+  the whole item are equal, or
 - it aligns RUN equal words or more, with at least PURITY of the aligned words equal. Such
   words always hold SEED of them in a row, so none of these is lost.
 
@@ -38,6 +39,8 @@ from starledger.sources.shared import materialize
 SEED = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 SHARE = 0.5
+#: Two seeds' words: one stock phrase of a short item is no copy of it.
+LEAST = 2 * SEED
 RUN, PURITY = 13, 0.8
 #: Words on either side of a seed's diagonal that an alignment may use.
 SLACK = 16
@@ -267,7 +270,8 @@ def best_scores(flat, firsts, lengths, hashes, low, high) -> np.ndarray:
 def is_leak(n_words: int, score: int, equal: int, aligned: int) -> bool:
     if n_words < SEED:
         return equal == n_words == aligned
-    return score >= SHARE * MATCH * n_words or (equal >= RUN and equal >= PURITY * aligned)
+    share = score >= SHARE * MATCH * n_words and equal >= min(n_words, LEAST)
+    return share or (equal >= RUN and equal >= PURITY * aligned)
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:

@@ -311,6 +311,19 @@ def test_parts_that_many_items_share_are_found(spark, monkeypatch, hits):
     assert sorted((r.doc_id, r.item_id) for r in found) == sorted(truth)
 
 
+def test_a_stock_phrase_of_a_short_item_is_no_leak(spark):
+    items = [(1, "one of the most famous rivers"), (2, "at the end of day"),
+             (3, "what is one of the largest lakes in northern italy"), (4, "so be it")]
+    docs = [(1, "this is one of the most common words"), (2, "they met at the end of may"),
+            (3, "which is one of the largest towns"), (4, "be it so"),
+            (11, "the rhine is One of the most famous rivers."),
+            (13, "what is one of the largest lakes of northern italy"), (14, "So be it!")]
+    found = decontaminate.find_leaks(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(11, 1), (13, 3), (14, 4)]
+
+
 # --- token files and packing ------------------------------------------------------------
 
 
