@@ -334,7 +334,8 @@ class Join:
     def across(self, shared: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs that share a signature but no component, past the sketches.
 
-        Groups of up to three sets are done: their first and last were compared with all.
+        Groups of two sets are done. Of three, the first and last document may be copies of
+        one set, and the other two are not compared yet.
         """
         reps = shared.select("sig", "doc").join(self.reps, F.col("doc") == F.col("doc_id"))
         reps = reps.select("sig", "rep").distinct()
@@ -346,7 +347,7 @@ class Join:
             F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"),
         )
         # Groups of the same sets are compared once.
-        groups = groups.where("n > 3 and low <> high").groupBy("n", "who").agg(F.min("sig").alias("sig"))
+        groups = groups.where("n > 2 and low <> high").groupBy("n", "who").agg(F.min("sig").alias("sig"))
         rows = reps.join(groups.select("sig", "n"), "sig").join(self.sketches, "rep")
         place = F.row_number().over(W.partitionBy("sig").orderBy("rep")) - 1
         n_blocks = F.floor((F.col("n") - 1) / BLOCK).cast("int")

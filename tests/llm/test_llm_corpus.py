@@ -115,6 +115,17 @@ def test_a_dense_group_is_compared_across_its_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _plain_components(rows)
 
 
+def test_copies_at_both_ends_of_a_signature_settle_nothing_else(spark):
+    # The second and third text of each four link; the first and its copy link with neither.
+    rows = []
+    for i in range(0, 240, 4):
+        common = [f"w{i}x{k}" for k in range(9)]
+        texts = [[*common, "a", f"a{i}"], [*common, f"b{i}"], common, [*common, "a", f"a{i}"]]
+        rows += [(i + k, " ".join(words)) for k, words in enumerate(texts)]
+    found = jaccard.jaccard_join(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _plain_components(rows)
+
+
 def test_signatures_are_shared_by_all_similar_sets():
     rng = random.Random(7)
     classes = jaccard.Classes()
