@@ -14,7 +14,8 @@ Base kinds (leftmost, non-overlapping per kind, a failing match is dropped and n
 Added kinds: `masked` ("name at host dot org" written with brackets), `login` (user and
 password in a URL), `account` (value after a cue such as token, password, iban, ssn).
 
-Null and empty texts give no spans; very long texts are read once, in linear time.
+Null and empty texts give no spans; very long texts are read once, in linear time. Values,
+users, passwords and local parts are taken whole, however long.
 Positions count code points, ends are exclusive. Copies and repeated rows are each reported.
 """
 
@@ -62,20 +63,19 @@ class SpanFinder:
         self.ip = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
         self.card = re.compile(r"[0-9](?:[ -]?[0-9])++")
         self.phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-        self.masked_left = re.compile(r"[A-Za-z0-9._%+-]+ ?$")
         self.masked_right = re.compile(
             r" ?[A-Za-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}) ?[A-Za-z0-9-]++)++", re.I
         )
-        self.login = re.compile(r"[^\s/@:]{1,256}:[^\s/@]{1,256}(?=@[A-Za-z0-9])")
-        self.value = re.compile(
-            r"(?:[ _-]?(?:number|no|num|id|key))?[ \t]*[:=#][ \t]*[\"']?"
-            r"(?P<value>[A-Za-z0-9](?:[A-Za-z0-9+/_=.-]|[ ](?=[0-9])){5,127})",
-            re.I,
+        self.login = re.compile(r"[^\s/@:]++:[^\s/@]++(?=@[A-Za-z0-9])")
+        self.before_value = re.compile(
+            r"(?:[ _-]?(?:number|no|num|id|key))?[ \t]*[:=#][ \t]*[\"']?(?=[A-Za-z0-9])", re.I
         )
+        self.value = re.compile(r"(?:[A-Za-z0-9+/_=.-]|[ ](?=[0-9]))++", re.I)
 
     def spans(self, text: str) -> list[Span]:
         """Spans by start, then kind in the listed order."""
         found: list[Span] = []
+        self.run = (0, -1)  # end and last digit of the latest run of value characters
         free = dict.fromkeys(KINDS, 0)  # where the next match of a kind may start
         folded = text.translate(self.lower) if not text.islower() else text
         for last, (kind, size) in self.automaton.iter(folded):
@@ -140,10 +140,16 @@ class SpanFinder:
             found.append(("phone", at, match.end()))
 
     def _masked(self, text, start, end, free, found):
-        left = self.masked_left.search(text, max(free["masked"], start - 65), start)
+        # Masks hold brackets, so runs of local characters before two of them never overlap.
+        stop = start
+        for gap in "\n ":
+            stop -= stop > free["masked"] and text[stop - 1] == gap
+        left = stop
+        while left > free["masked"] and self.local.match(text, left - 1):
+            left -= 1
         right = self.masked_right.match(text, end)
-        if left and right:
-            found.append(("masked", left.start(), right.end()))
+        if left < stop and right:
+            found.append(("masked", left, right.end()))
             free["masked"] = right.end()
 
     def _login(self, text, at, free, found):
@@ -155,10 +161,18 @@ class SpanFinder:
     def _account(self, text, start, end, free, found):
         if start < free["account"] or (start and text[start - 1].isalnum()):
             return
-        match = self.value.match(text, end)
-        if match and any(c.isdigit() for c in match["value"]):
-            found.append(("account", match.start("value"), match.end("value")))
-            free["account"] = match.end("value")
+        before = self.before_value.match(text, end)
+        if not before:
+            return
+        at = before.end()
+        if at >= self.run[0]:
+            # Read once: cues inside this run share its end and its last digit.
+            stop = self.value.match(text, at).end()
+            self.run = (stop, max(text.rfind(digit, at, stop) for digit in "0123456789"))
+        stop, digit = self.run
+        if stop - at >= 6 and digit >= at:
+            found.append(("account", at, stop))
+            free["account"] = stop
 
 
 def _luhn(digits: list[int]) -> bool:

@@ -202,6 +202,28 @@ def test_long_texts_take_linear_time():
         finder.spans(piece * 200_000)
 
 
+@pytest.mark.parametrize(
+    ("text", "clean"),
+    [
+        ("token: " + "aB3" * 150 + " end", "token: <ACCOUNT> end"),
+        ("secret=" + "x" * 300 + "7" + "y" * 300 + ", end", "secret=<ACCOUNT>, end"),
+        ("a token=" + "token=" * 100 + "x1 end", "a token=<ACCOUNT> end"),
+        ("ftp://" + "u" * 400 + ":" + "p" * 400 + "@host/x", "ftp://<LOGIN>@host/x"),
+        ("to " + "j" * 300 + " [at] example [dot] com", "to <MASKED>"),
+    ],
+)
+def test_long_values_go_whole(text, clean):
+    assert pii._cut(text, pii.SpanFinder()) == clean
+
+
+def test_long_runs_of_cues_take_linear_time():
+    finder = pii.SpanFinder()
+    for piece in ("token=", "token=-", "token:x[at]", "://a:b", "a://b:c@", "x[at]"):
+        finder.spans(piece * 200_000)
+    for text in ("x" * 200_000 + "[at]", "://" + "a" * 10**6 + ":" + "b" * 10**6, "token=" + "x" * 10**6):
+        finder.spans(text * 3)
+
+
 def test_find_and_redact(spark):
     rows = [(1, "me@x.org or 10.0.0.1", 7), (2, None, 7), (3, "", 7), (1, "me@x.org or 10.0.0.1", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans int")
