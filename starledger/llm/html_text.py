@@ -31,6 +31,11 @@ SKIPPED = {
     "script", "style", "noscript", "template", "head", "title", "iframe", "object", "svg",
     "math", "canvas", "audio", "video", "textarea", "select", "button", "datalist",
 }
+#: What may stand in a head; other start tags, and text, end one that is open.
+IN_HEAD = {
+    "html", "head", "base", "basefont", "bgsound", "link", "meta", "title", "noscript", "noframes",
+    "style", "script", "template",
+}
 INLINE = {
     "a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font",
     "i", "img", "input", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike",
@@ -132,6 +137,8 @@ def blocks_of(page: str) -> list[Block]:
 
     def text(piece: str) -> None:
         nonlocal block
+        if stack[-1].name == "head" and piece.strip():
+            close(len(stack) - 1)
         if stack[-1].skipped or not piece:
             return
         if block is None:
@@ -150,6 +157,18 @@ def blocks_of(page: str) -> list[Block]:
             open_count[gone.name] -= 1
             links -= gone.name == "a"
 
+    def ends_head(name: str, at: int) -> bool:
+        """Whether a start tag ends the open head; one inside a closed noscript does not."""
+        if name in IN_HEAD or not open_count.get("head"):
+            return False
+        inside = [x for x in ("noscript", "template") if open_count.get(x)]
+        if inside and not last_end:
+            last_end[""] = 0  # searched for once
+            for end in re.finditer(r"</(noscript|template)\b", page, re.I):
+                last_end[end[1].lower()] = end.start()
+        return name == "body" or not any(last_end.get(x, 0) > at for x in inside)
+
+    last_end: dict[str, int] = {}
     raw_end = None
     for match in TOKEN.finditer(page):
         if raw_end:
@@ -161,6 +180,8 @@ def blocks_of(page: str) -> list[Block]:
         if not match[2]:
             continue
         name = match[2].lower()
+        if not match[1] and ends_head(name, at):
+            close(max(i for i, e in enumerate(stack) if e.name == "head"))
         if name == "br":
             text(" ")
             continue

@@ -65,6 +65,29 @@ def test_extract(page, text):
     assert html_text.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    "head",
+    [
+        "<head><title>T</title><body>",
+        "<html><head><meta charset=utf-8><link rel=x href=y><script>var a = '<p>';</script>",
+        "<HEAD><style>p {}</style><BODY class=x>",
+        "<head><noscript><link href=y><body>",
+        "<head><noscript><link href=y>",
+        "<head><template><div>not shown</div></template><noscript><p>Not shown.</p></noscript>",
+        "<head><title>T</title></head><body>",
+        "<head><template><body>",
+    ],
+)
+def test_a_head_ends_where_the_body_begins(head):
+    page = head + "<article><h1>A</h1><p>Some text is here, a sentence.</p></article>"
+    assert html_text.extract(page) == "A\nSome text is here, a sentence."
+
+
+def test_text_ends_a_head():
+    text = "Plain text of a page without any body tag, which is a long enough sentence."
+    assert html_text.extract(f"<head><meta charset=utf-8>\n{text}") == text
+
+
 def test_very_long_page_takes_linear_time():
     page = "<article>" + "<p>A sentence of some words.</p><div class=ad>Buy</div>" * 20_000
     assert html_text.extract(page).count("\n") == 19_999
