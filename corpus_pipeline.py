@@ -16,6 +16,8 @@ from starledger.sources.shared import materialize
 
 #: A text is rejected where less than this of a language's profile fits it.
 LEAST_FIT = 0.2
+#: Near copies share this percentage of their sequences of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -43,7 +45,7 @@ def _shadows(docs: DataFrame) -> dict:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of every group of near copies; rows without id all stay."""
-    groups = jaccard.jaccard_join(docs)
+    groups = jaccard.jaccard_join(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 

@@ -539,6 +539,34 @@ def test_pipeline_against_its_parts(spark):
     assert {d: sum(v) for d, v in whole.items()} == {d: len(x) for d, x in ids.items()}
 
 
+def _plain_kept(rows, size, percent):
+    """The smallest ids of groups linked by shingles of `size` words and `percent` likeness."""
+    sets, group = {}, {}
+    for doc, text in rows:
+        w = WORDS.findall((text or "").translate(FOLD))
+        sets[doc] = {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} - {()}
+        group[doc] = {doc}
+    for a in sets:
+        for b in sets:
+            common = len(sets[a] & sets[b])
+            union = len(sets[a]) + len(sets[b]) - common
+            if a < b and common and 100 * common >= percent * union and group[a] is not group[b]:
+                group[a] |= group[b]
+                for doc in group[b]:
+                    group[doc] = group[a]
+    return {doc for doc in sets if doc == min(group[doc])}
+
+
+def test_near_copies_of_the_pipeline_have_five_words_and_80_percent(spark):
+    words = [f"s{i}" for i in range(100)]
+    edited = [*words[:30], "one", *words[31:60], "two", *words[61:]]  # 86 of 106 by five words
+    rows = [*_corpus(3), (1001, " ".join(words)), (1002, " ".join(edited))]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, SF).collect()}
+    assert kept == _plain_kept(rows, 5, 80)
+    assert 1001 in kept and 1002 not in kept
+
+
 def test_pipeline_stages_on_odd_rows(spark, tmp_path):
     base = "der hund und die katze sitzen auf der matte im garten hinter dem haus " * 3
     rows = [(1, base, "de", "s", 9), (2, base, "de", "s", 9), (3, None, "de", "s", None), (None, base, None, None, 9),
