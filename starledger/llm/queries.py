@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import decontaminate, html_text, jaccard, language, neighbours, packing, pii, quality, repeats, token_files
+from starledger.llm import (
+    decontaminate,
+    html_text,
+    jaccard,
+    language,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    token_files,
+)
 from starledger.llm.base import table
 from starledger.sources.shared import scratch_path
 
@@ -110,3 +122,9 @@ def op7_repeats(spark, sf):
     """Words of every document and those removed as repeats of an earlier document."""
     kept = repeats.remove_repeats(table(spark, sf, "documents"))
     return kept.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
+@query
+def op13_simhash(spark, sf):
+    """Fingerprint of every document and the component of its links."""
+    return simhash.near_duplicates(table(spark, sf, "documents"))
