@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.llm import (
+    alignment,
     decontaminate,
     html_text,
     jaccard,
@@ -128,3 +129,12 @@ def op7_repeats(spark, sf):
 def op13_simhash(spark, sf):
     """Fingerprint of every document and the component of its links."""
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op11_alignment(spark, sf):
+    """Groups and links between the ids of two tokenizers, of every document."""
+    import public_tokenizers as tokenizers
+
+    files = map(tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf, "documents"), *files)
