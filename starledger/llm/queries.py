@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starledger.llm import (
     alignment,
     decontaminate,
+    hard_negatives,
     html_text,
     jaccard,
     language,
@@ -138,3 +139,11 @@ def op11_alignment(spark, sf):
 
     files = map(tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.align(table(spark, sf, "documents"), *files)
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    """Hard negatives of every fiftieth vector and each of its positives."""
+    vectors = table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
