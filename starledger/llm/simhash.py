@@ -182,19 +182,30 @@ def _near(a: str, b: str, distance: int) -> Column:
 
 
 def _shared(distinct: DataFrame, distance: int) -> DataFrame:
-    """sig, print, n, low, high: fingerprints of every signature that several have."""
+    """sig, print, n, low, high: what signatures that several fingerprints have still say.
+
+    That is fingerprints near the smallest or the largest, and all of signatures of more
+    than three; two or three that are not near have nothing more to be compared with.
+    """
     posted = distinct.select(F.explode(signatures(F.col("print"), distance)).alias("sig"), "print")
-    ends = posted.groupBy("sig").agg(
+    ends = posted.groupBy(F.col("sig").alias("of")).agg(
         F.min("print").alias("low"), F.max("print").alias("high"), F.count("*").alias("n")
     )
-    return materialize(posted.join(ends.where("low <> high"), "sig"), "shared-signatures")
+    settled = (F.col("n") <= 3) & ~_linked("low", distance) & ~_linked("high", distance)
+    met = (F.col("sig") == F.col("of")) & ~settled
+    shared = posted.join(ends.where("low <> high"), met).drop("of")
+    return materialize(shared, "shared-signatures")
+
+
+def _linked(end: str, distance: int) -> Column:
+    return (F.col("print") != F.col(end)) & _near("print", end, distance)
 
 
 def _stars(shared: DataFrame, distance: int) -> DataFrame:
     """Links of each signature's fingerprints with its smallest and its largest."""
-    low = shared.where(_near("print", "low", distance)).select(F.col("low").alias("a"), F.col("print").alias("b"))
-    high = shared.where(_near("print", "high", distance)).select(F.col("print").alias("a"), F.col("high").alias("b"))
-    return low.unionByName(high).where("a <> b").distinct()
+    low = shared.where(_linked("low", distance)).select(F.col("low").alias("a"), F.col("print").alias("b"))
+    high = shared.where(_linked("high", distance)).select(F.col("print").alias("a"), F.col("high").alias("b"))
+    return low.unionByName(high).distinct()
 
 
 def _across(shared: DataFrame, labels: DataFrame, distance: int) -> DataFrame:
@@ -226,7 +237,7 @@ def _across(shared: DataFrame, labels: DataFrame, distance: int) -> DataFrame:
             rest = [x[cut:] for x in own]
         yield _pairs(*rest, distance)
 
-    return spots.mapInArrow(run, "a long, b long").distinct()
+    return materialize(spots.mapInArrow(run, "a long, b long").distinct(), "component-links")
 
 
 def _pairs(spot: np.ndarray, bits: np.ndarray, component: np.ndarray, distance: int) -> pa.RecordBatch:
@@ -257,7 +268,8 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, distance: int = DIST
     distinct = materialize(known.groupBy("print").agg(F.min("doc_id").alias("rep")), "distinct-prints")
     shared = _shared(distinct, distance)
     labels = components(_stars(shared, distance).unionByName(_same_id(known)))
-    joined = components(_across(shared, labels, distance))
+    across = _across(shared, labels, distance)
+    joined = labels.limit(0) if across.isEmpty() else components(across)
     whole = joined.select(F.col("id").alias("component"), F.col("component").alias("whole"))
     merged = labels.join(whole, "component", "left")
     first = merged.select(F.col("id").alias("print"), F.coalesce("whole", "component").alias("component"))
