@@ -5,12 +5,18 @@ A pair can pass for two reasons, and each has its own complete filter.
 1. Nearly all of one name is shared. The rest of that name then weighs less than a known
    share of it, so among its rarest tokens up to that weight one must be shared. Names
    meet on such a token; common tokens stay out unless a name has nothing rarer.
-2. The two rests are alike letter by letter. The score bounds the letters each side may
-   drop. A dropped letter destroys at most two letter pairs of its name, an inserted one at
+2. The two rests are alike letter by letter. The score and the lengths bound the letters
+   each side may drop, in one of two ways.
+
+   Where neither side may drop more than one, names meet on what is left of their tokens:
+   all tokens, or all with one letter dropped, or two tokens joined where the dropped
+   letter is the space between them. This finds little but the pairs themselves.
+
+   Else a dropped letter destroys at most two letter pairs of its name, an inserted one at
    most one, so of e destroyable pairs all others are common. With one order of all letter
    pairs, rarest first, two names that have at least three pairs in common have three of
-   them among the first e + 3 of each side. Names of all lengths meet on three of those at
-   once, and only what then has enough letter pairs in common is scored.
+   them among the first e + 3 of each side. Names meet on three of those at once, and only
+   what then has enough letter pairs in common is scored.
 
 Both sides hold distinct token keys, so copies of a name count once. No candidate list is
 capped, and every candidate is scored exactly.
@@ -93,17 +99,22 @@ def _mostly_shared(left: DataFrame, right: DataFrame, counts: DataFrame, thresho
     return probes.join(entries, "part").where(near).select("l", "r")
 
 
+def _drops(n: int, m: int, threshold: float) -> tuple[int, int] | None:
+    """Most letters that names of `n` and `m` letters may drop, None if no pair can pass."""
+    # own + other drops stay below this number, and own - other is n - m.
+    edits = math.ceil((1 - threshold) * (n + m) - 1e-9) - 1
+    own = min((edits + n - m) // 2, n)
+    other = own - (n - m)
+    return (own, other) if own >= 0 and other >= 0 else None
+
+
 def _most_destroyed(n: int, others: Iterable[int], threshold: float) -> int | None:
-    """Most letter pairs that edits may destroy in a name of length `n`, None if no pair fits."""
-    most = None
-    for m in others:
-        # own + other drops stay below this number, and own - other is n - m.
-        edits = math.ceil((1 - threshold) * (n + m) - 1e-9) - 1
-        own = min((edits + n - m) // 2, n)
-        other = own - (n - m)
-        if own >= 0 and other >= 0:
-            most = max(most or 0, 2 * own + other)
-    return most
+    """Most letter pairs that edits may destroy in a name of length `n`.
+
+    None if no pair of these lengths needs to meet on letter pairs.
+    """
+    drops = [_drops(n, m, threshold) for m in others]
+    return max((2 * own + other for own, other in filter(None, drops) if max(own, other) > 1), default=None)
 
 
 def _lengths(names: DataFrame) -> list[int]:
@@ -149,6 +160,56 @@ def _meeting_keys(prefix: Column, size: int) -> Column:
     return F.flatten(F.transform(prefix, following))
 
 
+def _remainders(name: Column) -> Column:
+    """Hashes of what may be left of a name's tokens when at most one letter is dropped."""
+    tokens = _tokens(name)
+
+    def key(rest: Column) -> Column:
+        return F.xxhash64(F.array_join(F.array_sort(rest), " "))
+
+    def without(i: Column, *new: Column) -> Column:
+        kept = F.concat(F.slice(tokens, F.lit(1), i), F.slice(tokens, i + 2, F.size(tokens)))
+        return F.concat(kept, F.array(*new)) if new else kept
+
+    def letter_dropped(token: Column, i: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.length(token)),
+            lambda at: key(
+                without(i, F.concat(F.substring(token, F.lit(1), at - 1), F.substring(token, at + 1, F.length(token))))
+            ),
+        )
+
+    def joined(token: Column, i: Column) -> Column:
+        # Tokens stand in order, and so do those of a rest.
+        later = F.slice(tokens, i + 2, F.size(tokens))
+        before = F.slice(tokens, F.lit(1), i)
+        return F.transform(
+            later,
+            lambda other, j: key(
+                F.concat(
+                    before, F.slice(later, F.lit(1), j), F.slice(later, j + 2, F.size(later)),
+                    F.array(F.concat(token, other)),
+                )
+            ),
+        )
+
+    every = [F.array(key(tokens)), F.flatten(F.transform(tokens, letter_dropped)), F.flatten(F.transform(tokens, joined))]
+    return F.array_distinct(F.flatten(F.array(*every)))
+
+
+def _nearly_equal(left: DataFrame, right: DataFrame, lengths, threshold: float) -> DataFrame:
+    """Pairs that are equal once either side has dropped a letter at most."""
+
+    def keyed(side: DataFrame, own: list[int], other: list[int], out: str) -> DataFrame:
+        allowed = [n for n in own if any(d and max(d) <= 1 for d in (_drops(n, m, threshold) for m in other))]
+        rows = _spread(side.where(F.length("name").isin(allowed)), "name")
+        return rows.select(F.col("name").alias(out), F.explode(_remainders(F.col("name"))).alias("_key"))
+
+    close = F.abs(F.length("l") - F.length("r")) < (1 - threshold) * (F.length("l") + F.length("r"))
+    met = keyed(left, *lengths, "l").join(keyed(right, *lengths[::-1], "r"), "_key")
+    return met.where(close).select("l", "r")
+
+
 def _ranked_pairs(names: DataFrame) -> DataFrame:
     """Hashes of each name's letter pairs, rarest first, as a written table."""
     exploded = names.select("name", F.explode(_letter_pairs(F.col("name"))).alias("part"))
@@ -161,7 +222,12 @@ def _ranked_pairs(names: DataFrame) -> DataFrame:
 
 
 def _alike(left: DataFrame, right: DataFrame, lengths, threshold: float) -> DataFrame:
-    """Pairs that have so many letter pairs in common that the score may pass."""
+    """Pairs that have so many letter pairs in common that the score may pass.
+
+    Of lengths at which a side may drop more than one letter.
+    """
+    if all(_most_destroyed(n, lengths[1], threshold) is None for n in lengths[0]):
+        return left.select(F.col("name").alias("l"), F.col("name").alias("r")).limit(0)
     ranked = _ranked_pairs(left.select("name").union(right.select("name")).distinct())
 
     def keyed(side: DataFrame, own: list[int], other: list[int], out: str) -> DataFrame:
@@ -207,6 +273,7 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     pairs = [
         _mostly_shared(left, right, counts, threshold),
         swapped.select(F.col("r").alias("l"), F.col("l").alias("r")),
+        _nearly_equal(left, right, lengths, threshold),
         _alike(left, right, lengths, threshold),
     ]
     found = _spread(reduce(DataFrame.unionAll, pairs), "l", "r").distinct()
