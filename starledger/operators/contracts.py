@@ -7,7 +7,7 @@ pass over the frame. Null passes every value rule; nullability is a rule of its
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -140,20 +140,29 @@ def _struct_fields() -> str:
     return ",".join(":".join(part.split()) for part in VIOLATION_SCHEMA.split(","))
 
 
+def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
+    return [(f.name, label, fails) for f in _checkable(df, contract) for label, fails in f.failures()]
+
+
+def rule_counts(df: DataFrame, contract: Contract) -> list[Column]:
+    """Aggregates of `df`: `rows`, and rows broken per rule as n0, n1, ...
+
+    They fit `agg` as well as `observe`, which takes them while something else runs.
+    """
+    rules = enumerate(_rules(df, contract))
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(fails).alias(f"n{i}") for i, (_, _, fails) in rules]]
+
+
 def violation_summary(df: DataFrame, contract: Contract) -> DataFrame:
     """Rows broken per rule, zero included, and `rows` in all: one aggregate, one pass."""
-    rules = [(f.name, label, fails) for f in _checkable(df, contract) for label, fails in f.failures()]
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(fails).alias(f"n{i}") for i, (_, _, fails) in enumerate(rules)],
-    )
+    counts = df.agg(*rule_counts(df, contract))
     per_rule = [
         F.struct(
             F.lit(name).alias("column_name"),
             F.lit(label).alias("check"),
             F.col(f"n{i}").alias("violations"),
         )
-        for i, (name, label, _) in enumerate(rules)
+        for i, (name, label, _) in enumerate(_rules(df, contract))
     ]
     empty = F.struct(
         F.lit("*").alias("column_name"),
@@ -163,6 +172,18 @@ def violation_summary(df: DataFrame, contract: Contract) -> DataFrame:
     return counts.select(F.inline(F.array(empty, *per_rule)), "rows")
 
 
+def check_counts(df: DataFrame, contract: Contract, counts: Mapping[str, int]) -> None:
+    """Raise one error that lists every rule that `rule_counts` found broken."""
+    failures = schema_failures(df.schema, contract)
+    if not counts["rows"]:
+        failures.append(("*", "non_empty", 1))
+    for i, (name, label, _) in enumerate(_rules(df, contract)):
+        if counts[f"n{i}"]:
+            failures.append((name, label, counts[f"n{i}"]))
+    if failures:
+        raise ContractError(contract, failures)
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count; null keys do not count."""
     known = F.expr(" and ".join(f"`{k}` is not null" for k in key))

@@ -6,8 +6,10 @@ array. Rows with a null key equal nothing: they are always added or removed, and
 spreads them over the tasks of the join.
 
 A key that repeats pairs every previous row with every current row. Those pairs are
-counted, not built: values are counted per key and column first, and only distinct values
-of a column meet.
+counted, not built. One pass over the keys writes the repeated ones with their numbers of
+rows, which alone tell added and removed rows; another writes how often each value of each
+column occurs on either side, which gives all totals. Only the list of changes lets the
+distinct values of a key and column meet: a join, which can be split however many there are.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starledger.functions.text import column, comparable_text
+from starledger.sources.shared import materialize
 from starledger.sources.snapshots import DATE_COLUMN, history_dates
 
 CHANGE_COLUMNS = ("column_name", "old_value", "new_value")
@@ -71,11 +74,6 @@ def _all_known(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [column(k).isNotNull() for k in key])
 
 
-def _absent(rows: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
-    unmatched = rows.join(other.select(*map(column, key)), list(key), "left_anti")
-    return unmatched.select(*map(column, rows.columns))
-
-
 def _diff_of_unique(
     previous: DataFrame, current: DataFrame, key: Sequence[str], columns: Sequence[str]
 ) -> SnapshotDiff:
@@ -164,42 +162,60 @@ def _changes_of_repeated(counts: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def _changed_keys_of_repeated(counts: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Changed pairs per key: all pairs of a column less those with equal values."""
+def _totals_of_repeated(counts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Totals from counted values.
+
+    Changed pairs of a column are all pairs less those with equal values, and the values of
+    any column add up to the rows of the key.
+    """
     names = list(map(column, key))
     per_column = counts.groupBy(*names, "column_name").agg(
-        (F.sum("n_old") * F.sum("n_new") - F.sum(F.col("n_old") * F.col("n_new"))).alias("n")
+        F.sum("n_old").alias("n_old"),
+        F.sum("n_new").alias("n_new"),
+        (F.sum("n_old") * F.sum("n_new") - F.sum(F.col("n_old") * F.col("n_new"))).alias("n_pairs"),
     )
-    per_key = per_column.groupBy(*names).agg(F.sum("n").alias("n_pairs"))
-    return per_key.where("n_pairs > 0")
+    per_key = per_column.groupBy(*names).agg(
+        F.max("n_old").alias("n_old"), F.max("n_new").alias("n_new"), F.sum("n_pairs").alias("n_pairs")
+    )
+    zero = F.lit(0)
+    added, removed = (
+        F.when(F.col(f"n_{other}") == 0, F.col(f"n_{own}")).otherwise(zero)
+        for own, other in (("new", "old"), ("old", "new"))
+    )
+    return _sums(per_key, added, removed, F.col("n_pairs") > 0, F.col("n_pairs"))
 
 
 def _repeated(previous: DataFrame, current: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys that several rows of one side have."""
-    several = [
-        df.where(_all_known(key)).groupBy(*map(column, key)).count().where("count > 1").drop("count")
-        for df in (previous, current)
+    """Keys that several rows of one side have, with the rows of either side; written once."""
+    sides = [
+        df.where(_all_known(key)).select(
+            *map(column, key), F.lit(old).alias("_n_old"), F.lit(1 - old).alias("_n_new")
+        )
+        for df, old in ((previous, 1), (current, 0))
     ]
-    return several[0].union(several[1]).distinct()
+    sums = [F.sum(n).cast("bigint").alias(n) for n in ("_n_old", "_n_new")]
+    counted = sides[0].unionAll(sides[1]).groupBy(*map(column, key)).agg(*sums)
+    return materialize(counted.where("_n_old > 1 or _n_new > 1"), "repeated-keys")
 
 
 def _diff_of_repeated(
-    previous: DataFrame, current: DataFrame, key: Sequence[str], columns: Sequence[str]
+    previous: DataFrame, current: DataFrame, repeated: DataFrame, key: Sequence[str], columns: Sequence[str]
 ) -> SnapshotDiff:
     """The diff of rows with known keys that repeat, from counted values."""
-    counts = _value_counts(previous, current, key, columns)
-    added, removed = _absent(current, previous, key), _absent(previous, current, key)
-    changed = _changed_keys_of_repeated(counts, key)
-    one, zero = F.lit(1), F.lit(0)
-    parts = added.select(one.alias("a"), zero.alias("r"), zero.alias("k"), zero.cast("bigint").alias("c"))
-    parts = parts.unionAll(removed.select(zero, one, zero, zero))
-    parts = parts.unionAll(changed.select(zero, zero, one, "n_pairs"))
+
+    def rows(df: DataFrame, of: str) -> DataFrame:
+        keys = repeated.where(of).select(*map(column, key))
+        return df.join(keys, list(key), "left_semi").select(*map(column, df.columns))
+
+    every = "true"
+    counts = _value_counts(rows(previous, every), rows(current, every), key, columns)
+    counts = materialize(counts, "value-counts")
     return SnapshotDiff(
         key=tuple(key),
-        added=added,
-        removed=removed,
+        added=rows(current, "_n_old = 0"),
+        removed=rows(previous, "_n_new = 0"),
         weighted_changes=_changes_of_repeated(counts, key),
-        totals=_sums(parts, *map(F.col, "arkc")),
+        totals=_totals_of_repeated(counts, key),
         keys_unique=False,
     )
 
@@ -220,7 +236,7 @@ def diff_snapshots(
     """Compare two snapshots on `key` over `columns`.
 
     Set `keys_unique` when a uniqueness check has passed: repeated keys are then not
-    looked for.
+    looked for. Else they are looked for at once, and what they need is written.
     """
     key = (key,) if isinstance(key, str) else tuple(key)
     if not columns or set(key) & set(columns):
@@ -230,17 +246,12 @@ def diff_snapshots(
     if keys_unique:
         return _diff_of_unique(previous, current, key, columns)
     repeated = _repeated(previous, current, key)
-    names = list(key)
-    once = _diff_of_unique(
-        *[df.join(repeated, names, "left_anti").select(*map(column, df.columns)) for df in (previous, current)],
-        key,
-        columns,
-    )
-    often = _diff_of_repeated(
-        *[df.join(repeated, names, "left_semi").select(*map(column, df.columns)) for df in (previous, current)],
-        key,
-        columns,
-    )
+    if repeated.isEmpty():
+        return _diff_of_unique(previous, current, key, columns)
+    keys = repeated.select(*map(column, key))
+    single = [df.join(keys, list(key), "left_anti").select(*map(column, df.columns)) for df in (previous, current)]
+    once = _diff_of_unique(*single, key, columns)
+    often = _diff_of_repeated(previous, current, repeated, key, columns)
     both = once.totals.unionAll(often.totals)
     return SnapshotDiff(
         key=key,

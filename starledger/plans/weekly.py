@@ -7,17 +7,18 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from starledger.operators.contracts import duplicate_keys, validate
+from starledger.operators.contracts import check_counts, rule_counts
 from starledger.operators.diff import SnapshotDiff, diff_snapshots
+from starledger.operators.events import append_events, row_events
 from starledger.operators.expectations import (
     check_drift,
     check_expectations,
     rare_values,
+    row_measures,
     row_warnings,
 )
 from starledger.plans.contracts import DIFF_COLUMNS, REGISTRY
 from starledger.sources.pages import check_completeness, load_registry
-from starledger.sources.shared import materialize
 from starledger.sources.snapshots import (
     append_changes,
     load_snapshot,
@@ -41,17 +42,12 @@ class WeeklyResult:
     diff: SnapshotDiff | None
     drift: DataFrame | None
     changelog: str | None
+    events: str | None = None
 
 
 def registry_diff(previous: DataFrame, current: DataFrame) -> SnapshotDiff:
-    """Diff of two registry snapshots.
-
-    Uniqueness is looked up first on the key column alone, which is cheap and lets the
-    usual case join the snapshots without reducing them.
-    """
-    key = REGISTRY.key
-    unique = all(duplicate_keys(df, key).isEmpty() for df in (previous, current))
-    return diff_snapshots(previous, current, key, DIFF_COLUMNS, keys_unique=unique)
+    """Diff of two registry snapshots; one pass over the keys tells whether any repeats."""
+    return diff_snapshots(previous, current, REGISTRY.key, DIFF_COLUMNS)
 
 
 def weekly_ingest(
@@ -61,39 +57,53 @@ def weekly_ingest(
     overwrite: bool = False,
     as_of_year: int | None = None,
     changelog_base: str | None = None,
+    events_base: str | None = None,
 ) -> WeeklyResult:
     """Take one landed load of registry pages into the snapshot store.
 
-    The pages are parsed once into a written table; validation, checks and the snapshot
-    itself read that table. A broken contract stops the run; expectations, drift checks and
-    row warnings do not. With `changelog_base` the changed values are added to a changelog
-    there; a date that is already in it is refused.
+    The load is read once: while it is written, the contract's rules and the row checks are
+    counted, and the snapshot is committed only if the contract holds. A broken contract
+    stops the run; expectations, drift checks and row warnings do not. With `changelog_base`
+    the changed values are added to a changelog there, with `events_base` the added, changed
+    and removed rows to an event log, from which any snapshot can be rebuilt; a date that is
+    already in either is refused.
     """
     spark = pages.sparkSession
     check_completeness(pages)
-    typed = validate(materialize(load_registry(pages), "registry"), REGISTRY)
+    load = load_registry(pages)
     day_before = previous_snapshot_date(spark, base, snapshot_date)
     try:
         previous = load_snapshot(spark, day_before, base, REGISTRY.version) if day_before else None
     except FileNotFoundError:
         previous = None
-    report = check_expectations(
-        typed, previous.count() if previous is not None else None, as_of_year
+    seen: dict[str, int] = {}
+
+    def accept(counts: dict) -> None:
+        check_counts(load, REGISTRY, counts)
+        seen.update(counts)
+
+    measures = [*rule_counts(load, REGISTRY), *row_measures(load, as_of_year)]
+    path = save_snapshot(
+        load, snapshot_date, base, overwrite, REGISTRY.version, measures, accept
     )
-    path = save_snapshot(typed, snapshot_date, base, overwrite, REGISTRY.version)
     current = load_snapshot(spark, snapshot_date, base, REGISTRY.version)
+    previous_rows = previous.count() if previous is not None else None
+    report = check_expectations(current, previous_rows, as_of_year, measured=seen)
     diff = registry_diff(previous, current) if previous is not None else None
-    logged = None
+    logged = told = None
     if diff is not None and changelog_base:
         logged = append_changes(diff.weighted_changes, snapshot_date, changelog_base)
+    if events_base:
+        told = append_events(row_events(previous, current, REGISTRY.key), snapshot_date, events_base)
     return WeeklyResult(
         snapshot_date,
         path,
-        current.count(),
+        seen["rows"],
         report,
         rare_values(current, CATEGORY),
         row_warnings(current),
         diff,
         check_drift(previous, current, diff.added) if diff is not None else None,
         logged,
+        told,
     )

@@ -20,7 +20,7 @@ from starledger.functions.text import (
     partial_date,
     strip,
 )
-from starledger.operators import analysis, contracts, diff, expectations, match
+from starledger.operators import analysis, contracts, diff, events, expectations, match
 from starledger.operators.contracts import Contract, Field, Rule
 from starledger.plans import canonical
 from starledger.sources import catalogs, landing, pages, snapshots
@@ -289,6 +289,39 @@ def snapshot_dates(spark, sf):
     return snapshots.history_dates(inputs.yearly_customers(spark, sf))
 
 
+def _event_log(spark: SparkSession, sf: str, key: str) -> str:
+    """Row events of two snapshots of the orders, the first of them all added."""
+    base = scratch_path(spark, "events")
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(path)
+    before = None
+    for day, df in zip(inputs.SNAPSHOT_DATES, (inputs.previous_orders(spark, sf), inputs.current_orders(spark, sf))):
+        told = events.row_events(before, df, key)
+        events.append_events(told, dt.date.fromisoformat(day), base)
+        before = df
+    return base
+
+
+@query
+def changelog_events(spark, sf):
+    """Events of each kind that two snapshots leave, by order status."""
+    history = snapshots.load_history(spark, _event_log(spark, sf, inputs.DIFF_KEY))
+    return history.groupBy("snapshot_date", F.col("_event").alias("event"), "o_orderstatus").agg(
+        F.count("*").alias("n")
+    )
+
+
+@query
+def changelog_replay(spark, sf):
+    """Both snapshots rebuilt from events alone; their key repeats."""
+    base = _event_log(spark, sf, "o_custkey")
+    days = [dt.date.fromisoformat(day) for day in inputs.SNAPSHOT_DATES]
+    rebuilt = [
+        events.replay(spark, base, "o_custkey", day).withColumn("as_of", F.lit(day)) for day in days
+    ]
+    return rebuilt[0].unionByName(rebuilt[1])
+
+
 # --- contracts ----------------------------------------------------------------------
 
 PART = Contract(

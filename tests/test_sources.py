@@ -2,15 +2,19 @@
 
 import datetime as dt
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from starledger.operators.contracts import ContractError, validate
+from starledger.operators.events import append_events, replay, row_events
 from starledger.plans.contracts import GP, REGISTRY, SATCAT
 from starledger.plans.weekly import weekly_ingest
 from starledger.sources import pages as pg
+from starledger.sources import snapshots
 from starledger.sources.catalogs import read_catalog, read_csv_text, unreadable_cells
 from starledger.sources.landing import freshness, source_status
 from starledger.sources.snapshots import (
@@ -234,14 +238,14 @@ D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)
 def test_snapshot_round_trip(spark, tmp_path):
     base, df = str(tmp_path), small(spark)
     path = save_snapshot(df, D1, base, version="1.2.0")
-    assert path.endswith("snapshot_date=2024-01-01")
+    assert path.startswith(f"{base}/snapshot_date=2024-01-01/v-")
     back = load_snapshot(spark, D1, base, version="1.0.0")
     assert back.schema.names == df.schema.names
     assert sorted(back.collect()) == sorted(df.collect())
     assert stored_schema_version(back) == "1.2.0"
     with pytest.raises(ValueError, match="schema version"):
         load_snapshot(spark, D1, base, version="2.0.0")
-    names = [p.name for p in (tmp_path / "snapshot_date=2024-01-01").glob("part-*")]
+    names = [p.name for p in (tmp_path / "snapshot_date=2024-01-01").glob("v-*/part-*")]
     assert names and all(".zstd." in n for n in names)
 
 
@@ -277,13 +281,101 @@ def test_failed_write_leaves_the_old_snapshot(spark, tmp_path):
     with pytest.raises(PySparkException, match="lost"):
         save_snapshot(broken, D1, base, overwrite=True)
     assert load_snapshot(spark, D1, base).count() == 3
-    assert [p.name for p in tmp_path.iterdir()] == ["snapshot_date=2024-01-01"]
+    assert {p.name for p in tmp_path.iterdir()} == {"_log", "snapshot_date=2024-01-01"}
+    assert len(list((tmp_path / "snapshot_date=2024-01-01").iterdir())) == 1
 
 
-def test_unfinished_folder_is_no_snapshot(spark, tmp_path):
-    save_snapshot(small(spark), D1, str(tmp_path))
+def write_only(spark, n, day, base):
+    """A write whose driver is lost before the commit; its folder."""
+    return snapshots._write(small(spark, n), day, base)[0]
+
+
+def test_a_lost_driver_leaves_committed_snapshots_readable(spark, tmp_path):
+    base, log = str(tmp_path), tmp_path / "_log"
+    # Lost after the files, before any entry: nothing is there yet.
+    write_only(spark, 4, D1, base)
+    assert list_snapshot_dates(spark, base) == []
+    save_snapshot(small(spark, 3), D1, base)
+    save_snapshot(small(spark, 1), D2, base)
+    states = []
+    for at, text in enumerate(["", '{"number": 4, "snap', None]):
+        folder = write_only(spark, 7, D1, base)
+        if text is None:  # lost right after the entry
+            entry = snapshots._commit(spark, base, snapshots.Entry(0, "2024-01-01", folder, None), True)
+            assert entry.number == 5
+        else:  # lost while the entry was written
+            (log / f"{at + 3:010d}.json").write_text(text)
+        states.append((load_snapshot(spark, D1, base).count(), load_history(spark, base).count()))
+    assert states == [(3, 4), (3, 4), (7, 8)]
+    save_snapshot(small(spark, 2), D1, base, overwrite=True)
+    assert load_snapshot(spark, D1, base).count() == 2
+    gone = snapshots.remove_uncommitted(spark, base)
+    assert len(gone) == 5 and len(list(tmp_path.glob("snapshot_date=*/v-*"))) == 2
+    assert load_history(spark, base).count() == 3
+
+
+def test_files_without_a_whole_write_are_no_snapshot(spark, tmp_path):
+    base = str(tmp_path)
+    small(spark).write.parquet(f"{base}/snapshot_date=2024-01-01")
+    assert list_snapshot_dates(spark, base) == [D1] and load_snapshot(spark, D1, base).count() == 2
+    with pytest.raises(FileExistsError):
+        save_snapshot(small(spark, 5), D1, base)
     (tmp_path / "snapshot_date=2024-01-01" / "_SUCCESS").unlink()
-    assert list_snapshot_dates(spark, str(tmp_path)) == []
+    assert list_snapshot_dates(spark, base) == []
+
+
+def test_a_commit_takes_the_next_free_number_and_refuses_a_second_one(spark, tmp_path):
+    base = str(tmp_path)
+    folders = [write_only(spark, n, D1, base) for n in (1, 2)]
+    entries = [snapshots.Entry(0, "2024-01-01", f, None) for f in folders]
+    assert snapshots._commit(spark, base, entries[0], False).number == 1
+    with pytest.raises(FileExistsError):
+        snapshots._commit(spark, base, entries[1], False)
+    # Another writer took the number meanwhile.
+    real, taken = snapshots._create, []
+
+    def late(spark_, fs, path, text):
+        if not taken:
+            taken.append(path)
+            real(spark_, fs, path, text.replace(folders[1], folders[0]))
+        return real(spark_, fs, path, text)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(snapshots, "_create", late)
+        assert snapshots._commit(spark, base, entries[1], True).number == 3
+    assert load_snapshot(spark, D1, base).count() == 2
+    assert [e.number for e in snapshots.commits(spark, base)] == [1, 2, 3]
+
+
+def test_versions_of_all_dates_are_looked_at_with_a_schema_too(spark, tmp_path):
+    base = str(tmp_path)
+    save_snapshot(small(spark), D1, base, version="1.0.0")
+    save_snapshot(small(spark), D2, base, version="2.0.0")
+    with pytest.raises(ValueError, match="several major"):
+        load_history(spark, base, schema=small(spark).schema)
+    save_snapshot(small(spark), D1, base, overwrite=True, version="2.1.0")
+    assert load_history(spark, base, schema=small(spark).schema, version="2.0.0").count() == 4
+    with pytest.raises(ValueError, match="schema version"):
+        load_history(spark, base, schema=small(spark).schema, version="1.0.0")
+    # Files without an entry tell their version themselves.
+    snapshots.with_schema_version(small(spark), "3.0.0").write.parquet(f"{base}/snapshot_date=2024-03-01")
+    with pytest.raises(ValueError, match="several major"):
+        load_history(spark, base)
+
+
+def test_measures_are_taken_while_a_snapshot_is_written(spark, tmp_path):
+    base, seen = str(tmp_path), []
+    measures = [F.count_if(F.col("flag")).alias("flagged"), F.max("designator").alias("last")]
+    save_snapshot(small(spark, 5), D1, base, measures=measures, accept=seen.append)
+    assert seen == [{"rows written": 5, "flagged": 1, "last": "2024-004A"}]
+
+    def refuse(counts):
+        raise ValueError(f"refused {counts['flagged']}")
+
+    with pytest.raises(ValueError, match="refused 1"):
+        save_snapshot(small(spark, 2), D1, base, overwrite=True, measures=measures, accept=refuse)
+    assert load_snapshot(spark, D1, base).count() == 5
+    assert len(list(tmp_path.glob("snapshot_date=*/v-*"))) == 1
 
 
 def test_history_keeps_appended_columns_and_refuses_other_majors(spark, tmp_path):
@@ -337,6 +429,53 @@ def test_changelog_is_append_only(spark, tmp_path):
         append_changes(small(spark), D1, str(tmp_path))
 
 
+ROWS = "id string, place string, n int"
+
+
+def event_log(spark, tmp_path, snapshots_, key="id"):
+    base, before = str(tmp_path), None
+    for day, rows in zip((D1, D2, D3), snapshots_):
+        df = rows if hasattr(rows, "columns") else spark.createDataFrame(rows, ROWS)
+        append_events(row_events(before, df, key), day, base)
+        before = df
+    return base
+
+
+def test_events_rebuild_every_date(spark, tmp_path):
+    rng = random.Random(1)
+    row = lambda: (rng.choice(["a", "b", "c", None, "d", "e"]), rng.choice(["x", "y", None]), rng.choice([1, None]))
+    states = [[row() for _ in range(40)] for _ in range(3)]
+    states[1] += [("hot", "same", 1)] * 60 + [(None, "same", 1)] * 30
+    states[2] = states[2] + [("hot", "same", 1)] * 20
+    base = event_log(spark, tmp_path, states)
+    for day, rows in [*zip((D1, D2, D3), states), (None, states[2]), (dt.date(2024, 2, 15), states[1])]:
+        rebuilt = replay(spark, base, "id", day)
+        assert rebuilt.columns == ["id", "place", "n"]
+        assert Counter(map(tuple, rebuilt.collect())) == Counter(rows)
+    assert replay(spark, base, "id", dt.date(2023, 1, 1)).count() == 0
+    with pytest.raises(FileExistsError):
+        append_events(row_events(None, spark.createDataFrame(states[0], ROWS), "id"), D3, base)
+
+
+def test_events_say_what_happened(spark, tmp_path):
+    states = [[("a", "x", 1), ("b", "x", 1), ("c", "x", 1)], [("a", "x", 1), ("b", "y", 1), ("d", None, None)]]
+    history = load_history(spark, event_log(spark, tmp_path, states))
+    told = {(r.snapshot_date, r.id, r._event, r.place) for r in history.collect()}
+    assert told == {(D1, k, "added", "x") for k in "abc"} | {
+        (D2, "b", "changed", "y"), (D2, "c", "removed", "x"), (D2, "d", "added", None)
+    }
+
+
+def test_events_of_appended_columns(spark, tmp_path):
+    first = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], ROWS)
+    second = first.withColumn("note", F.when(F.col("id") == "b", "new"))
+    base = event_log(spark, tmp_path, [first, second, first.drop("n")])
+    assert sorted(map(tuple, replay(spark, base, "id", D2).collect())) == [("a", "x", 1, None), ("b", "y", 2, "new")]
+    assert sorted(map(tuple, replay(spark, base, "id").collect())) == [("a", "x", None, None), ("b", "y", None, None)]
+    with pytest.raises(ValueError, match="_event"):
+        row_events(None, first.withColumn("_event", F.lit(1)), "id")
+
+
 def weekly_pages(spark, statuses, found=None):
     results = [
         record(
@@ -366,6 +505,19 @@ def test_weekly_run(spark, tmp_path):
     assert again.diff.counts.first().is_empty
 
 
+def test_weekly_event_log_rebuilds_the_snapshots(spark, tmp_path):
+    folders = [tmp_path / name for name in ("snapshots", "events")]
+    for folder in folders:
+        folder.mkdir()
+    base, told = map(str, folders)
+    for day, statuses in ((D1, ["a", "b", "c"]), (D2, ["a", "x", None, "d"])):
+        last = weekly_ingest(weekly_pages(spark, statuses), day, base, as_of_year=2026, events_base=told)
+        stored, key = load_snapshot(spark, day, base), "International Designator"
+        rebuilt = replay(spark, told, key, day)
+        assert sorted(map(str, rebuilt.collect())) == sorted(map(str, stored.collect()))
+    assert spark.read.parquet(last.events).groupBy("_event").count().count() == 3
+
+
 def test_weekly_run_stops_on_a_broken_contract(spark, tmp_path):
     bad = page_frame(spark, {"found": 1, "results": [record(International_Designator="nonsense")]})
     with pytest.raises(ContractError, match="International Designator"):
