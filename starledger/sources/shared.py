@@ -50,4 +50,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and read it back."""
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    vars(written)[_PLACE] = path
+    return written
+
+
+#: Where `materialize` notes the folder of a table.
+_PLACE = "_starledger_path"
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialize` wrote, once everything that reads them is written too."""
+    for table in tables:
+        path = vars(table).get(_PLACE)
+        if path:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            fs = path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf())
+            fs.delete(path, True)
