@@ -84,10 +84,15 @@ SCALE = 1000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)",
+    # A quote opens a value only behind an equals sign.
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([A-Za-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+ATTRIBUTE = re.compile(r"([A-Za-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Elements whose content is plain text up to their own end tag, and that tag.
+RAW_END = {
+    name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in ("script", "style", "textarea", "title")
+}
 
 
 @dataclass
@@ -169,14 +174,10 @@ def blocks_of(page: str) -> list[Block]:
         return name == "body" or not any(last_end.get(x, 0) > at for x in inside)
 
     last_end: dict[str, int] = {}
-    raw_end = None
-    for match in TOKEN.finditer(page):
-        if raw_end:
-            if not (match[1] and match[2] and match[2].lower() == raw_end):
-                continue
-            raw_end, at = None, match.start()
+    search_from = 0
+    while match := TOKEN.search(page, search_from):
         text(page[at : match.start()])
-        at = match.end()
+        at = search_from = match.end()
         if not match[2]:
             continue
         name = match[2].lower()
@@ -205,10 +206,12 @@ def blocks_of(page: str) -> list[Block]:
         stack.append(Element(name, weight, above.depth + 1, above.skipped or name in SKIPPED, above))
         open_count[name] = open_count.get(name, 0) + 1
         links += name == "a"
-        if name in ("script", "style", "textarea", "title"):
-            raw_end = name
-    if not raw_end:
-        text(page[at:])
+        if name in RAW_END:
+            end = RAW_END[name].search(page, at)
+            if not end:  # the rest of the page belongs to it
+                return blocks
+            search_from = end.start()
+    text(page[at:])
     return blocks
 
 
