@@ -115,7 +115,8 @@ class SpanFinder:
             free["ip"] = self.number.match(text, at).end()
             return
         free["ip"] = match.end()
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match.groups()):
+        parts = [part.lstrip("0") for part in match.groups()]
+        if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
             found.append(("ip", at, match.end()))
 
     def _card(self, text, at, free, found):
