@@ -40,10 +40,7 @@ class Grams:
     """Codes of the letter n-grams of texts; built once per task."""
 
     def __init__(self):
-        letters = np.zeros(0x110000, bool)
-        letters[: 0x10000] = [chr(c).isalpha() for c in range(0x10000)]
-        #: Beyond the basic plane: the letter blocks are found once here as well.
-        letters[0x10000:0x32000] = [chr(c).isalpha() for c in range(0x10000, 0x32000)]
+        letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
         self.letters = letters
 
     def points(self, text: str) -> np.ndarray:
