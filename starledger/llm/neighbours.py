@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starledger.llm.base import quoted
+from starledger.sources.shared import materialize
 
 PIVOTS = 256
 PREFIX = 128
@@ -38,13 +39,14 @@ FOUND = "query_id long, vec_id long, score double"
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """vec_id and vector of the rows that take part."""
-    rows = vectors.select(quoted(vec_id).alias("vec_id"), quoted(embedding).alias("vector"))
+    rows = vectors.select(quoted(vec_id).cast("long").alias("vec_id"), quoted(embedding).alias("vector"))
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = rows.where("vec_id is not null and vector is not null")
     rows = rows.where(~F.exists("vector", odd) & F.exists("vector", lambda x: x != 0))
     sizes = rows.groupBy(F.size("vector").alias("size")).count()
     usual = sizes.orderBy(F.desc("count"), "size").first()
-    return rows.where(F.size("vector") == usual["size"]) if usual else rows
+    rows = rows.where(F.size("vector") == usual["size"]) if usual else rows
+    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def pivots_of(rows: DataFrame) -> np.ndarray:
@@ -81,10 +83,10 @@ class Block:
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], vectors[order]
         groups: dict[bytes, list[int]] = {}
-        for row, vec_id in enumerate(ids.tolist()):
+        for row in range(len(ids)):
             copies = groups.setdefault(vectors[row].tobytes(), [])
             # One more than the result needs, as a query may be one of the copies.
-            if len(copies) <= k and (not copies or ids[copies[-1]] != vec_id):
+            if len(copies) <= k:
                 copies.append(row)
         self.copies = [ids[rows] for rows in groups.values()]
         self.vectors = vectors[[rows[0] for rows in groups.values()]]
@@ -119,7 +121,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     `is_query` is a condition on vec_id. Nearness is the inner product; ties go to the
     smaller vec_id, and a query is not its own neighbour. Without usable rows: no rows.
     """
-    rows = usable(vectors)
+    rows = materialize(usable(vectors), "usable-vectors")
     spark = rows.sparkSession
     total, queries = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     if not queries:
@@ -147,8 +149,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         out = []
         if asks.any() and not asks.all():
             index = Block(ids[~asks], data[~asks], pivots, k)
-            wanted, at = np.unique(ids[asks], return_index=True)
-            queries = data[asks][at]
+            wanted, queries = ids[asks], data[asks]
             near, _ = places(queries, pivots)
             for query_id, query, own in zip(wanted.tolist(), queries, near):
                 out += [(query_id, *hit) for hit in index.search(query_id, query, own)]
