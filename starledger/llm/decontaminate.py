@@ -1,7 +1,11 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters, digits and non-ASCII characters, compared in lower case. The
-seeds of a benchmark item are all its SEED-word sequences, however many items have them. A
+seeds of a benchmark item are those of its SEED-word sequences that COMMON distinct items at
+most have, and in every run of RUN words, however common they all are, the rarest. So every
+RUN words of an item hold a seed, and a phrase that very many items share brings only those
+items to a document that have nothing rarer near it. What goes unseen is an edited copy in
+which no RUN words in a row are whole and whose whole sequences are all common ones. A
 document that shares a seed with an item is aligned with it around the seed's diagonal:
 local alignment of words with affine-free gaps, MATCH for equal words, MISMATCH and GAP
 otherwise. A document is contaminated by an item when
@@ -11,8 +15,9 @@ otherwise. A document is contaminated by an item when
 - it aligns RUN equal words or more, with at least PURITY of the aligned words equal. Such
   words always hold SEED of them in a row, so none of these is lost.
 
-Common sequences give many candidates: their scores alone are computed first, many at once,
-and only those that can reach a limit are aligned word by word.
+The scores of candidates alone are computed first, many at once, and only those that can
+reach a limit are aligned word by word. Both keep one row of the alignment's table, so a long
+item or text takes memory in proportion to its length.
 
 Items of fewer words than SEED are one seed and must be found whole. Empty items and
 documents, and null texts, match nothing. The benchmark is cut into blocks of BLOCK_SEEDS
@@ -42,6 +47,8 @@ SHARE = 0.5
 #: Two seeds' words: one stock phrase of a short item is no copy of it.
 LEAST = 2 * SEED
 RUN, PURITY = 13, 0.8
+#: Distinct items that a sequence may have and count as rare.
+COMMON = 100
 #: Words on either side of a seed's diagonal that an alignment may use.
 SLACK = 16
 #: Seeds of one broadcast: some 30 MB with the words of their items.
@@ -88,7 +95,7 @@ def item_seeds(items: DataFrame, item_id: str = "item_id", text: str = "text") -
                 ["item_id", "words", "grams", "size"],
             )
 
-    rows = items.select(quoted(item_id).alias("item_id"), quoted(text).alias("text"))
+    rows = items.select(quoted(item_id).cast("long").alias("item_id"), quoted(text).alias("text"))
     return map_arrow(rows, run, "item_id long, words array<bigint>, grams array<bigint>, size int")
 
 
@@ -100,16 +107,17 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     items = item_seeds(benchmark).where("item_id is not null")
-    seeds = materialize(
+    distinct = materialize(
         items.groupBy(F.xxhash64("words").alias("item")).agg(
             *[F.first(c).alias(c) for c in ("words", "grams", "size")],
             F.collect_set("item_id").alias("item_ids"),
         ),
-        "benchmark-seeds",
+        "benchmark-items",
     )
+    seeds = materialize(distinct.join(_spread_of(distinct), "item"), "benchmark-seeds")
     total = seeds.agg(F.sum(F.size("grams") + F.size("item_ids"))).first()[0] or 0
     blocks = -(-total // BLOCK_SEEDS) or 1
-    rows = documents.select(quoted("doc_id").alias("doc_id"), quoted("text").alias("text"))
+    rows = documents.select(quoted("doc_id").cast("long").alias("doc_id"), quoted("text").alias("text"))
     found = None
     for block in range(blocks):
         part = seeds.where(F.pmod("item", F.lit(blocks)) == block)
@@ -118,12 +126,29 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found
 
 
+def _spread_of(items: DataFrame) -> DataFrame:
+    """item, spread: for each of its sequences in order, how many items have it."""
+    each = items.select("item", F.posexplode("grams").alias("at", "gram"))
+    counts = each.select("item", "gram").distinct().groupBy("gram").agg(F.count("*").alias("n"))
+    listed = F.sort_array(F.collect_list(F.struct("at", "n"))).alias("listed")
+    return each.join(counts, "gram").groupBy("item").agg(listed).select("item", F.col("listed.n").alias("spread"))
+
+
+def rare_places(spread: list[int]) -> list[int]:
+    """Places of an item's seeds, from how many items have each of its sequences."""
+    n = np.array(spread, np.int64)
+    width = min(RUN - SEED + 1, len(n))
+    runs = np.lib.stride_tricks.sliding_window_view(n, width)
+    rarest = runs.argmin(axis=1) + np.arange(len(runs))
+    return np.union1d(rarest, np.flatnonzero(n <= COMMON)).tolist()
+
+
 def _search(spark, rows: DataFrame, seeds: DataFrame) -> DataFrame:
     known = seeds.collect()  # at most about BLOCK_SEEDS seeds
     words = [np.array(row.words, np.int64).view(np.uint64) for row in known]
     flat = [
-        (gram, i, at, row["size"])
-        for i, row in enumerate(known) for at, gram in enumerate(row.grams)
+        (row.grams[at], i, at, row["size"])
+        for i, row in enumerate(known) for at in rare_places(row.spread)
     ]
     flat.sort()
     grams = np.array([x[0] for x in flat], np.int64).view(np.uint64)
@@ -276,24 +301,29 @@ def is_leak(n_words: int, score: int, equal: int, aligned: int) -> bool:
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int]:
     """Best local alignment: score, equal words, aligned columns, first and last word of b."""
-    n, m = len(a), len(b)
-    same = np.where(a[:, None] == b[None, :], MATCH, MISMATCH)
-    table = np.zeros((n + 1, m + 1), np.int64)
-    steps = np.arange(m + 1) * -GAP
-    for i in range(1, n + 1):
-        row = np.maximum(table[i - 1, 1:] + GAP, table[i - 1, :-1] + same[i - 1])
-        row = np.append(0, np.maximum(row, 0))
+    columns = np.arange(len(b) + 1)
+    steps = columns * -GAP
+    # For the best path to each cell of the running row: its value, equal words, columns,
+    # and the word of b at which it begins.
+    value, equal, aligned, first = np.zeros((4, len(b) + 1), np.int64)
+    first += columns
+    best = (0, 0, 0, 0, -1)
+    for word in a:
+        hit = b == word
+        diagonal, above = value[:-1] + np.where(hit, MATCH, MISMATCH), value[1:] + GAP
+        own = np.append(0, np.maximum(np.maximum(diagonal, above), 0))
+        straight = diagonal >= above
+        equal[1:] = np.where(straight, equal[:-1] + hit, equal[1:])
+        aligned[1:] = np.where(straight, aligned[:-1], aligned[1:]) + 1
+        first[1:] = np.where(straight, first[:-1], first[1:])
         # A gap in b costs -GAP a word: a running maximum of row + cost so far.
-        table[i] = np.maximum.accumulate(row + steps) - steps
-    i, j = np.unravel_index(int(np.argmax(table)), table.shape)
-    score, last, equal, aligned = int(table[i, j]), int(j) - 1, 0, 0
-    while table[i, j] > 0:
-        aligned += 1
-        if i and j and table[i, j] == table[i - 1, j - 1] + same[i - 1, j - 1]:
-            equal += int(same[i - 1, j - 1] == MATCH)
-            i, j = i - 1, j - 1
-        elif i and table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return score, equal, aligned, int(j), last
+        reach = np.maximum.accumulate(own + steps)
+        origin = np.maximum.accumulate(np.where(own + steps == reach, columns, 0))
+        value = reach - steps
+        equal, aligned, first = equal[origin], aligned[origin] + columns - origin, first[origin]
+        void = value == 0
+        equal[void], aligned[void], first[void] = 0, 0, columns[void]
+        at = int(np.argmax(value))
+        if value[at] > best[0]:
+            best = (int(value[at]), int(equal[at]), int(aligned[at]), int(first[at]), at - 1)
+    return best
