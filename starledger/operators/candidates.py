@@ -287,7 +287,7 @@ def mutual_best(pairs: DataFrame) -> DataFrame:
     The best partner is an aggregate, so no list of partners is ever gathered. Ties go by
     a hash because names in order would wait for each other in long chains.
     """
-    order = (-F.col("score"), F.xxhash64("l", "r"))
+    order = (-F.col("score"), F.md5(F.concat_ws("|", "l", "r").cast("binary")))
     best_r = pairs.groupBy("l").agg(F.min(F.struct(*order, "r")).alias("_b"))
     best_l = pairs.groupBy("r").agg(F.min(F.struct(*order, "l")).alias("_b"))
     return best_r.select("l", F.col("_b.r").alias("r"), (-F.col("_b.col1")).alias("score")).join(

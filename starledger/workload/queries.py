@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starledger.functions.names import with_normal_name
 from starledger.functions.orbit import orbit_regime
+from starledger.functions.similarity import token_set_score
 from starledger.functions.text import (
     column,
     has_edge_space,
@@ -583,6 +584,17 @@ def normalize_names(spark, sf):
     return with_normal_name(inputs.decorated_names(spark, sf), "name", "normal_name")
 
 
+@query
+def name_scores(spark, sf):
+    """Each part's name against that of the part before it of its size and type."""
+    deb = F.when(F.col("p_size") % 2 == 0, " deb").otherwise("")
+    name = F.concat("p_name", F.lit(" "), F.lower("p_brand"), deb)
+    before = Window.partitionBy("p_size", "p_type").orderBy("p_partkey")
+    pairs = table(spark, sf, "part").select("p_partkey", name.alias("name"), F.lag(name).over(before).alias("other"))
+    scored = pairs.where("other is not null").withColumn("score", token_set_score("name", "other"))
+    return scored.withColumn("confidence", match.match_confidence(F.lit(match.FUZZY), F.col("score")))
+
+
 @query
 def orbit_regimes(spark, sf):
     regime = orbit_regime(F.col("l_quantity") / 3, F.col("l_discount") * 4)
