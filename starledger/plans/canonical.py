@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starledger.functions.orbit import orbit_regime
-from starledger.functions.text import column
+from starledger.functions.text import column, first_known
 from starledger.operators.contracts import duplicate_keys, validate
 from starledger.operators.match import FUZZY_THRESHOLD, Side, match_catalogs
 from starledger.operators.ranking import Queue, digest_bucket, pair_by_position
@@ -18,6 +18,7 @@ from starledger.sources.shared import materialize
 from starledger.sources.snapshots import save_snapshot
 
 CATALOG_KEY = "NORAD_CAT_ID"
+TRACKED_DECAY = "TRACKED_DECAY_DATE"
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,7 @@ def join_catalogs(gp: DataFrame, satcat: DataFrame, keys_unique: bool = False) -
             own = materialize(numbered, f"catalog-{side}")
         row_id = F.col(f"{side}_id")
         bucket = digest_bucket(F.xxhash64(side))
-        return Queue(own, bucket, (F.col(side), row_id))
+        return Queue(own, bucket, (F.col(side),), row_id)
 
     both = pair_by_position(queue(gp, "g"), queue(satcat, "s"), [CATALOG_KEY], keys_unique)
     in_both = F.col("g").isNotNull() & F.col("s").isNotNull()
@@ -77,10 +78,24 @@ def catalog_report(catalog: DataFrame) -> DataFrame:
     )
 
 
+def with_tracking(catalog: DataFrame, tracking: DataFrame) -> DataFrame:
+    """Add the decay dates of a third source, by catalog number; several count as the first."""
+    known = tracking.where(F.col(CATALOG_KEY).isNotNull()).groupBy(CATALOG_KEY)
+    dates = known.agg(F.min("DECAY_DATE").alias(TRACKED_DECAY))
+    return catalog.join(dates, CATALOG_KEY, "left")
+
+
 def to_canonical(matched: DataFrame, snapshot_date: date) -> DataFrame:
-    """Matched rows in canonical columns; fields on both sides take the registry's first."""
+    """Matched rows in canonical columns.
+
+    A field that several sources have takes the first known value of the registry, the
+    third source where there is one, and the catalogs.
+    """
+    sources = ["l.Date of Decay", f"r.{TRACKED_DECAY}", "r.DECAY_DATE"]
+    if TRACKED_DECAY not in matched.schema["r"].dataType.names:
+        del sources[1]
     values = {
-        "cospar_id": F.coalesce("l.International Designator", "r.OBJECT_ID"),
+        "cospar_id": first_known(map(F.col, ("l.International Designator", "r.OBJECT_ID"))),
         "norad_cat_id": "r.NORAD_CAT_ID",
         "name_unoosa": "l.Name of Space Object",
         "object_name_celestrak": "r.OBJECT_NAME",
@@ -89,7 +104,7 @@ def to_canonical(matched: DataFrame, snapshot_date: date) -> DataFrame:
         "launch_date_unoosa": "l.Date of Launch",
         "launch_date_celestrak": "r.LAUNCH_DATE",
         "status": "l.Status",
-        "date_of_decay": F.coalesce("l.Date of Decay", "r.DECAY_DATE"),
+        "date_of_decay": first_known(map(F.col, sources)),
         "un_registered": "l.UN Registered",
         "registration_documents": "l.Registration Documents",
         "function": "l.Function",
@@ -125,9 +140,13 @@ def build_canonical(
     snapshot_date: date,
     fuzzy_threshold: float | None = FUZZY_THRESHOLD,
     keys_unique: bool | None = None,
+    tracking: DataFrame | None = None,
 ) -> CanonicalBuild:
     """Join the catalogs, match them to the registry, and map to the canonical columns.
 
+    `tracking` is a third source with NORAD_CAT_ID and DECAY_DATE; its dates stand between
+    those of the registry and of the catalogs.
+
     Catalog rows without a designator are left out and counted in the report. Whether
     designators and catalog numbers are unique is looked up on the key columns alone
     unless `keys_unique` says it.
@@ -136,6 +155,8 @@ def build_canonical(
     if keys_unique is None:
         catalog_unique = _unique(gp, CATALOG_KEY) and _unique(satcat, CATALOG_KEY)
     catalog = join_catalogs(gp, satcat, catalog_unique)
+    if tracking is not None:
+        catalog = with_tracking(catalog, tracking)
     if keys_unique is None:
         designators_unique = _unique(registry, "International Designator") and _unique(catalog, "OBJECT_ID")
     matched = match_catalogs(

@@ -332,3 +332,15 @@ def whole_catalog(spark: SparkSession, sf_dir: str, columns: dict[str, str]) ->
     """All columns of a catalog, one row an order."""
     described = _described_orders(spark, sf_dir)
     return described.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])
+
+
+def ragged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines under one column that is named as their header; some are broken."""
+    line = """
+        case when p = '1' and o_orderstatus = 'P' then concat('OBJ ', k, ',', k)
+             when p = '2' and o_orderstatus = 'P' then concat('OBJ ', k, ',', k, ',', d, ',more')
+             when p = '3' and o_orderstatus = 'P' then concat('OBJ ', k, ',n', k, ',', d)
+             when p = '4' and o_orderstatus = 'P' then concat('OBJ ', k, ',x,', y, '-13-01')
+             when p = '5' then concat('OBJ ', k, ',,', d)
+             else concat('OBJ ', k, ',', k, ',', d) end"""
+    return _described_orders(spark, sf_dir).select(F.expr(line).alias("NAME,NUMBER,DAY"))

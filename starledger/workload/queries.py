@@ -55,6 +55,14 @@ REGISTRY_NAMES = dict(
 )
 
 
+RAGGED_SCHEMA = T.StructType(
+    [
+        T.StructField("NAME", T.StringType()),
+        T.StructField("NUMBER", T.LongType()),
+        T.StructField("DAY", T.DateType()),
+    ]
+)
+
 # --- diff ---------------------------------------------------------------------------
 
 
@@ -411,6 +419,98 @@ def gp_csv(spark, sf):
     return catalogs.read_catalog(spark, path, GP.schema)
 
 
+@query
+def satcat_csv(spark, sf):
+    """The whole satellite catalog, written as CSV and read with declared types."""
+    from starledger.plans.contracts import SATCAT
+
+    path = scratch_path(spark, "satcat-csv")
+    inputs.whole_catalog(spark, sf, inputs.SATCAT_COLUMNS).write.option("header", True).csv(path)
+    return catalogs.read_catalog(spark, path, SATCAT.schema)
+
+
+def _ragged(spark: SparkSession, sf: str) -> catalogs.Inspection:
+    path = scratch_path(spark, "ragged-csv")
+    # One column of whole lines, named as the header; with another separator it stays unquoted.
+    inputs.ragged_lines(spark, sf).write.options(header=True, sep="\t").csv(path)
+    return catalogs.inspect_catalog(spark, path, RAGGED_SCHEMA)
+
+
+@query
+def csv_quarantine(spark, sf):
+    """Lines and cells that cannot be read; whether their file is named."""
+    found = _ragged(spark, sf).quarantine
+    return found.select("problem", "column_name", "value", F.col("file").contains("ragged-csv").alias("has_file"))
+
+
+@query
+def csv_accepted(spark, sf):
+    """The typed rows of all other lines."""
+    return _ragged(spark, sf).rows
+
+
+@query
+def landed_bodies(spark, sf):
+    """What becomes of a catalog file with rows, of one with a header alone, of an empty one."""
+    lines = inputs.satcat(spark, sf)
+    outcomes = []
+    for name, df in (("rows", lines), ("header only", lines.where("NORAD_CAT_ID < 0")), ("empty", None)):
+        path = scratch_path(spark, "body")
+        if df is None:
+            lines.where("NORAD_CAT_ID < 0").select("OBJECT_NAME").write.text(path)
+        else:
+            df.write.option("header", True).csv(path)
+        try:
+            rows = catalogs.read_catalog(spark, path, SATCAT_SCHEMA)
+            outcomes.append(rows.agg(F.lit(name).alias("body"), F.lit("read").alias("outcome"), F.count("*").alias("n")))
+        except ValueError:
+            n = F.lit(None).cast("long").alias("n")
+            outcomes.append(spark.range(1).select(F.lit(name).alias("body"), F.lit("refused").alias("outcome"), n))
+    return outcomes[0].unionByName(outcomes[1]).unionByName(outcomes[2])
+
+
+@query
+def empty_load(spark, sf):
+    """Columns of a load whose pages have no records, beside those of a full one."""
+    full = inputs.registry_pages(spark, sf)
+    empty = full.select(F.regexp_replace("page", r'(?s)"results": \[.*', '"results": []}').alias("page"))
+    parts = []
+    for label, df in (("empty", pages.load_registry(empty)), ("full", pages.load_registry(full))):
+        named = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("dtype")) for c, t in df.dtypes])
+        counted = df.agg(F.lit(label).alias("load"), F.count("*").alias("n"))
+        parts.append(counted.select("load", "n", F.inline(named)))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def missing_columns(spark, sf):
+    """Compared columns that a table lacks, with its rows."""
+    wanted = (inputs.DIFF_KEY, *inputs.DIFF_COLUMNS)
+    parts = []
+    for name in ("orders", "lineitem", "customer"):
+        df = table(spark, sf, name)
+        lacking = F.array(*map(F.lit, diff.missing_columns(df, wanted)))
+        counted = df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n"))
+        parts.append(counted.select("table_name", "n", F.explode(lacking).alias("column_name")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def snapshot_date_inside(spark, sf):
+    """Snapshots whose files hold their own date: read by date, and as a history."""
+    base = scratch_path(spark, "dated")
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(path)
+    days = [dt.date.fromisoformat(day) for day in inputs.SNAPSHOT_DATES]
+    for day, df in zip(days, (inputs.previous_orders(spark, sf), inputs.current_orders(spark, sf))):
+        snapshots.save_snapshot(df.withColumn("snapshot_date", F.lit(day)), day, base)
+    counted = [
+        df.groupBy(F.lit(label).alias("read"), "snapshot_date", "o_orderstatus").agg(F.count("*").alias("n"))
+        for label, df in (("history", snapshots.load_history(spark, base)), ("date", snapshots.load_snapshot(spark, days[1], base)))
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def edge_space_counts(spark, sf):
     return expectations.edge_space_counts(inputs.raw_registry(spark, sf))
@@ -616,6 +716,21 @@ def catalog_outer_join(spark, sf):
     return _catalog(spark, sf)
 
 
+@query
+def catalog_repeated_numbers(spark, sf):
+    """Both catalogs with numbers that repeat: pairs and rows left on either side."""
+    gp, satcat = (
+        df.withColumn("NORAD_CAT_ID", F.expr("NORAD_CAT_ID div 7 * 7 % 1001"))
+        for df in (inputs.gp_catalog(spark, sf), inputs.satcat(spark, sf))
+    )
+    joined = canonical.join_catalogs(gp, satcat)
+    return joined.groupBy("NORAD_CAT_ID").agg(
+        F.count_if(F.col("in_gp") & F.col("in_satcat")).alias("pairs"),
+        F.count_if(F.col("in_gp") & ~F.col("in_satcat")).alias("gp_only"),
+        F.count_if(~F.col("in_gp") & F.col("in_satcat")).alias("satcat_only"),
+    )
+
+
 @query
 def catalog_report(spark, sf):
     return canonical.catalog_report(_catalog(spark, sf))
@@ -686,6 +801,19 @@ def canonical_fuzzy(spark, sf):
     return _canonical(spark, sf, match.FUZZY_THRESHOLD)
 
 
+@query
+def canonical_precedence(spark, sf):
+    """Decay dates of three sources: the registry's, then the third one's, then the catalogs'."""
+    tracking = inputs.satcat(spark, sf).where("NORAD_CAT_ID % 3 = 0").select(
+        "NORAD_CAT_ID", F.date_add("LAUNCH_DATE", 333).alias("DECAY_DATE")
+    )
+    built = canonical.build_canonical(
+        inputs.matching_registry(spark, sf), inputs.gp_catalog(spark, sf), inputs.satcat(spark, sf),
+        DAY, None, tracking=tracking,
+    )
+    return built.rows.select("cospar_id", "norad_cat_id", "date_of_decay", "match_source")
+
+
 @query
 def orbit_gap(spark, sf):
     return analysis.orbit_gap(_canonical(spark, sf, None), {"OWN1": "State 1", "OWN2": "State 2"})

@@ -9,7 +9,7 @@ from __future__ import annotations
 from starledger.operators.contracts import Contract, Rule
 from starledger.plans.contracts import CANONICAL, GP, SATCAT
 from starledger.workload.inputs import GP_COLUMNS, SATCAT_COLUMNS
-from starledger.workload.sql import DESCRIBED, ORACLES, RAW, SNAPSHOTS
+from starledger.workload.sql import CATALOG, DESCRIBED, MATCH, ORACLES, RAW, SNAPSHOTS
 
 CONTRACT_ORACLES: dict[str, str] = {}
 
@@ -138,3 +138,67 @@ union all select 'warnings', 'in orbit with a decay date', false, count(*) from
           where status in ('in orbit', 'active') and decay is not null having count(*) > 0
 union all select 'warnings', 'decay before launch', false, count(*) from curr
           where decay < launch having count(*) > 0"""
+CONTRACT_ORACLES["satcat_csv"] = f"{_whole(SATCAT_COLUMNS)} select * from whole"
+CONTRACT_ORACLES["csv_quarantine"] = f"""with {DESCRIBED}
+select 'ragged' as problem, cast(null as varchar) as column_name,
+       case p when '1' then 'OBJ ' || k || ',' || k else 'OBJ ' || k || ',' || k || ',' || d || ',more' end
+           as value, true as has_file
+from described where p in ('1', '2') and o_orderstatus = 'P'
+union all
+select 'unreadable', 'NUMBER', case p when '3' then 'n' || k else 'x' end, true
+from described where p in ('3', '4') and o_orderstatus = 'P'
+union all
+select 'unreadable', 'DAY', y || '-13-01', true from described where p = '4' and o_orderstatus = 'P'"""
+CONTRACT_ORACLES["csv_accepted"] = f"""with {DESCRIBED}
+select 'OBJ ' || k as "NAME", case when p <> '5' then o_orderkey end as "NUMBER",
+       cast(o_orderdate as date) as "DAY"
+from described where o_orderstatus <> 'P' or p = '5'"""
+CONTRACT_ORACLES["landed_bodies"] = f"""with {CATALOG}
+select 'rows' as body, 'read' as outcome, count(*) as n from sat
+union all select 'header only', 'read', 0
+union all select 'empty', 'refused', null"""
+CONTRACT_ORACLES["empty_load"] = """
+with named as (
+    select unnest(['International Designator', 'National Designator', 'Name of Space Object',
+                   'State of Registry', 'Date of Launch', 'Status', 'Date of Decay', 'UN Registered',
+                   'Registration Documents', 'Function', 'Remarks', 'External website']) as column_name),
+loads as (select 'empty' as load, 0 as n union all select 'full', count(*) from orders)
+select load, n, column_name,
+       case when column_name like 'Date of%' then 'date' when column_name = 'UN Registered' then 'boolean'
+            else 'string' end as dtype
+from loads, named"""
+CONTRACT_ORACLES["missing_columns"] = """
+with wanted as (
+    select unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'price', 'o_orderdate',
+                   'o_orderpriority']) as column_name),
+tables as (
+    select 'orders' as table_name, count(*) as n from orders
+    union all select 'lineitem', count(*) from lineitem
+    union all select 'customer', count(*) from customer)
+select table_name, n, column_name from tables, wanted
+where table_name <> 'orders' or column_name = 'price'"""
+CONTRACT_ORACLES["snapshot_date_inside"] = f"""with {SNAPSHOTS},
+rows as (
+    select date '2026-04-19' as snapshot_date, o_orderstatus from prev
+    union all
+    select date '2026-04-26', o_orderstatus from curr)
+select 'history' as read, snapshot_date, o_orderstatus, count(*) as n from rows group by all
+union all
+select 'date', snapshot_date, o_orderstatus, count(*) from rows
+where snapshot_date = date '2026-04-26' group by all"""
+CONTRACT_ORACLES["catalog_repeated_numbers"] = f"""with {CATALOG},
+numbers as (
+    select n, sum(in_gp) as g, sum(in_sat) as s from (
+        select norad // 7 * 7 % 1001 as n, 1 as in_gp, 0 as in_sat from gp
+        union all
+        select norad // 7 * 7 % 1001, 0, 1 from sat) group by 1)
+select n as "NORAD_CAT_ID", cast(least(g, s) as bigint) as pairs,
+       cast(greatest(g - s, 0) as bigint) as gp_only, cast(greatest(s - g, 0) as bigint) as satcat_only
+from numbers"""
+CONTRACT_ORACLES["canonical_precedence"] = f"""with {MATCH}
+select coalesce(designator, "OBJECT_ID") as cospar_id, "NORAD_CAT_ID" as norad_cat_id,
+       coalesce(decay, case when "NORAD_CAT_ID" % 3 = 0 then cast("LAUNCH_DATE" + 333 as date) end,
+                "DECAY_DATE") as date_of_decay, match_source
+from matched left join registry using (lid)
+     left join catalog on matched.rid = "NORAD_CAT_ID"
+"""
