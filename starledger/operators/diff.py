@@ -220,8 +220,13 @@ def _diff_of_repeated(
     )
 
 
+def missing_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """The names that a frame lacks, in order."""
+    return sorted(set(names) - set(df.columns))
+
+
 def _require(df: DataFrame, names: Sequence[str], side: str) -> None:
-    missing = sorted(set(names) - set(df.columns))
+    missing = missing_columns(df, names)
     if missing:
         raise ValueError(f"{side} snapshot lacks columns: {missing}")
 

@@ -1,8 +1,9 @@
 """Hierarchical matching of two catalogs: designator, then name and date, then name alone.
 
-Each pass takes the rows earlier passes left over. Rows are paired one to one by position
-within equal keys, so thousands of fragments with one name and launch date pair in linear
-work. Only ids and keys travel through the passes.
+Each pass takes the rows earlier passes left over. Keys that no side repeats meet in one
+join; other rows are paired one to one by position within equal keys, so thousands of
+fragments with one name and launch date pair in linear work. Only ids and keys travel
+through the passes.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from starledger.functions.names import with_normal_name
 from starledger.functions.similarity import token_key
 from starledger.functions.text import column
 from starledger.operators.candidates import accepted_pairs, similar_names
-from starledger.operators.ranking import Queue, digest_bucket, pair_by_position
+from starledger.operators.ranking import Queue, digest_bucket, pair_by_position, repeated_groups
 from starledger.sources.shared import materialize
 
 # Threshold of the name pass and the offsets of the date pass.
@@ -90,8 +91,7 @@ def _queue(df: DataFrame, side: str, keys: dict[str, Column], by_day: bool = Fal
     bucket = F.col(f"{side}.bucket")
     if by_day:
         bucket = F.concat_ws("|", F.col(f"{side}.day").cast("string"), bucket)
-    row_id = F.col(f"{side}.id")
-    return Queue(own, bucket, (F.col(f"{side}.tie"), row_id))
+    return Queue(own, bucket, (F.col(f"{side}.tie"),), F.col(f"{side}.id"))
 
 
 def _left_over(paired: DataFrame, side: str, other: str) -> DataFrame:
@@ -133,6 +133,45 @@ def _pair_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFram
     )
 
 
+def _pair_dated_names(left: DataFrame, right: DataFrame) -> tuple[list[DataFrame], tuple[DataFrame, ...]]:
+    """Pairs of equal names and near dates, and the rows left of either side.
+
+    A name that either side has once at most, as most do, has one pair at most, whichever
+    the offset: one join on the name. Other names pair by position, an offset after another.
+    """
+    sides = left, right
+    known = [df.where("name is not null") for df in sides]
+    repeated = materialize(repeated_groups(known, ["name"]), "repeated-names")
+    lone = [
+        df.join(repeated, "name", "left_anti").select("name", F.struct(*KEYS).alias(side))
+        for df, side in zip(known, "lr")
+    ]
+    apart = F.datediff("r.day", "l.day")
+    met = F.coalesce(apart.isin(*DAY_OFFSETS), F.lit(False)).alias("met")
+    joined = materialize(lone[0].join(lone[1], "name", "full_outer").select("l", "r", met), "match-lone-names")
+    found = [_matched(joined.where("met"), NAME_DATE, F.lit(None))]
+    unpaired = [
+        joined.where(f"{side} is not null and not met").select(*[F.col(f"{side}.{c}") for c in KEYS]) for side in "lr"
+    ]
+    if not repeated.isEmpty():
+        rest = [df.join(repeated, "name", "left_semi").select(*KEYS) for df in known]
+        for offset in DAY_OFFSETS:
+            paired = materialize(
+                pair_by_position(
+                    _queue(rest[0], "l", {"_k": F.col("name"), "_d": F.date_add("day", offset)}),
+                    _queue(rest[1], "r", {"_k": F.col("name"), "_d": F.col("day")}),
+                    ["_k", "_d"],
+                    groups_repeat=True,
+                ),
+                "match-name-date",
+            )
+            found.append(_matched(paired, NAME_DATE, F.lit(None)))
+            rest = [_left_over(paired, "l", "r"), _left_over(paired, "r", "l")]
+        unpaired = [a.unionByName(b) for a, b in zip(unpaired, rest)]
+    nameless = [df.where("name is null").select(*KEYS) for df in sides]
+    return found, tuple(a.unionByName(b) for a, b in zip(unpaired, nameless))
+
+
 def _links(
     left: DataFrame, right: DataFrame, fuzzy_threshold: float | None, designators_unique: bool
 ) -> DataFrame:
@@ -147,17 +186,8 @@ def _links(
     )
     found = [_matched(paired, COSPAR, no_score)]
     rest = (_left_over(paired, "l", "r"), _left_over(paired, "r", "l"))
-    for offset in DAY_OFFSETS:
-        paired = materialize(
-            pair_by_position(
-                _queue(rest[0], "l", {"_k": F.col("name"), "_d": F.date_add("day", offset)}),
-                _queue(rest[1], "r", {"_k": F.col("name"), "_d": F.col("day")}),
-                ["_k", "_d"],
-            ),
-            "match-name-date",
-        )
-        found.append(_matched(paired, NAME_DATE, no_score))
-        rest = (_left_over(paired, "l", "r"), _left_over(paired, "r", "l"))
+    matched, rest = _pair_dated_names(*rest)
+    found += matched
     if fuzzy_threshold is not None:
         paired = _pair_names(*rest, fuzzy_threshold)
         found.append(_matched(paired, FUZZY, F.col("l.score")))

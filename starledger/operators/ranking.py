@@ -6,8 +6,11 @@ where a join on the key alone would build every pair.
 
 Groups of one row on either side, nearly all as a rule, are joined as they are. For the
 others positions are found without gathering a group in one task: the group is split into
-buckets by a digest of its rows, numbered inside each bucket, and shifted by the sizes of
-the buckets before. The order is the same for groups of any size.
+buckets by a digest of its rows, and rows that are equal in what orders them into SALTS
+cells. Each cell is numbered by itself and shifted by the sizes of the cells before it in its
+bucket and of the buckets before. So neither a large group nor very many copies of one row
+meet in one task. Only equal rows may change places; the order of the others is the same for
+groups of any size.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: leading hex digits of the digest, so at most 256 buckets in a group.
 BUCKET_DIGITS = 2
+#: Cells of rows that are equal in what orders them.
+SALTS = 64
 
 
 def digest_bucket(*parts: Column) -> Column:
@@ -30,46 +35,48 @@ def digest_bucket(*parts: Column) -> Column:
 
 @dataclass(frozen=True)
 class Queue:
-    """One side of a pairing: rows with the group columns, and the order in a group."""
+    """One side of a pairing: rows with the group columns, and the order in a group.
+
+    `order` should say all that tells rows apart. Rows that are equal in it are spread by a
+    hash of `row_id`, where there is one.
+    """
 
     df: DataFrame
     bucket: Column
     order: tuple[Column, ...]
+    row_id: Column | None = None
+
+
+def _sums_before(counts: DataFrame, within: Sequence[str], order: str, out: str) -> DataFrame:
+    """The sum of `_n` over the rows before, in each group."""
+    window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn(out, F.coalesce(F.sum("_n").over(window), F.lit(0)))
 
 
 def with_position(queue: Queue, group: Sequence[str], out: str) -> DataFrame:
     """Add the 1-based position of each row in its group.
 
-    Rows stand in the order of their buckets, and in a bucket in the queue's order. Only
-    groups that span several buckets take part in the shift.
+    Rows stand in the order of their buckets, and in a bucket in the queue's order.
     """
-    bucketed = queue.df.withColumn("_bucket", queue.bucket)
-    cell = [*group, "_bucket"]
-    before = (
-        bucketed.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_before",
-            F.sum("_n").over(
-                Window.partitionBy(*group)
-                .orderBy("_bucket")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-        )
-        .where("_before is not null")
-        .drop("_n")
-    )
+    salt = F.lit(0) if queue.row_id is None else F.pmod(F.xxhash64(queue.row_id), F.lit(SALTS))
+    bucketed = queue.df.withColumns({"_bucket": queue.bucket, "_cell": F.struct(*queue.order, salt.cast("int").alias("_salt"))})
+    bucket, cell = [*group, "_bucket"], [*group, "_bucket", "_cell"]
+    cells = bucketed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    buckets = bucketed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
+    inside = _sums_before(cells, bucket, "_cell", "_inside").drop("_n")
+    before = _sums_before(buckets, group, "_bucket", "_before").where("_before > 0").drop("_n")
     numbered = bucketed.withColumn(
-        "_at", F.row_number().over(Window.partitionBy(*cell).orderBy(*queue.order))
+        "_at", F.row_number().over(Window.partitionBy(*cell).orderBy(F.lit(0) if queue.row_id is None else queue.row_id))
     )
     return (
-        numbered.join(before, cell, "left")
-        .withColumn(out, F.col("_at") + F.coalesce("_before", F.lit(0)))
-        .drop("_at", "_before", "_bucket")
+        numbered.join(inside.where("_inside > 0"), cell, "left")
+        .join(before, bucket, "left")
+        .withColumn(out, F.col("_at") + F.coalesce("_inside", F.lit(0)) + F.coalesce("_before", F.lit(0)))
+        .drop("_at", "_inside", "_before", "_bucket", "_cell")
     )
 
 
-def _repeated(sides: Sequence[DataFrame], group: Sequence[str]) -> DataFrame:
+def repeated_groups(sides: Sequence[DataFrame], group: Sequence[str]) -> DataFrame:
     """Groups with several rows on one side; partial counts keep hot groups small."""
     counts = [
         df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*group)
@@ -79,22 +86,27 @@ def _repeated(sides: Sequence[DataFrame], group: Sequence[str]) -> DataFrame:
 
 
 def pair_by_position(
-    left: Queue, right: Queue, group: Sequence[str], groups_unique: bool = False
+    left: Queue, right: Queue, group: Sequence[str], groups_unique: bool = False, groups_repeat: bool = False
 ) -> DataFrame:
     """Full outer join of both sides on `group` and the position in the group.
 
     Every input row appears exactly once. Rows with a null in `group` pair with nothing
     and skip the join. Beside `group`, the sides must not share column names.
-    `groups_unique` says that no group repeats on either side, so repeats need not be
-    looked for.
+    `groups_unique` says that no group repeats on either side, `groups_repeat` that most do,
+    so repeats need not be looked for.
     """
     known = F.expr(" and ".join(f"`{g}` is not null" for g in group))
     sides = [q.df.where(known) for q in (left, right)]
     keys = list(group)
     if groups_unique:
         joined = sides[0].join(sides[1], keys, "full_outer")
+    elif groups_repeat:
+        queued = [
+            with_position(replace(q, df=df), group, "_pos") for df, q in zip(sides, (left, right))
+        ]
+        joined = queued[0].join(queued[1], [*keys, "_pos"], "full_outer").drop("_pos")
     else:
-        repeated = _repeated(sides, group)
+        repeated = repeated_groups(sides, group)
         single = [df.join(repeated, keys, "left_anti") for df in sides]
         many = [
             with_position(replace(q, df=df.join(repeated, keys, "left_semi")), group, "_pos")

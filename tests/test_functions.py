@@ -7,6 +7,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+from starledger.functions import similarity
 from starledger.functions.names import fold_accents, normalize_name, with_normal_name
 from starledger.functions.orbit import REGIMES, orbit_regime
 from starledger.functions.similarity import token_key, token_set_score
@@ -225,3 +226,25 @@ def test_token_set_score_follows_its_definition(spark):
 
 def test_token_key(spark):
     assert apply(spark, ["b a b", "x", ""], token_key) == ["a b", "x", ""]
+
+
+def test_batches_of_names_score_as_single_pairs():
+    rng = random.Random(4)
+    letters = "abcé日1 "
+    text = lambda: "".join(rng.choices(letters, k=rng.choice([0, 1, 5, 30, 63, 64, 65, 130, 300])))
+    tokens = ["a", "ab", "abc", "b7", "cosmos", "1234", "日本", "x"]
+    pairs = [(text(), text()) for _ in range(600)]
+    pairs += [tuple(" ".join(rng.sample(tokens, rng.randint(0, 5))) for _ in "lr") for _ in range(600)]
+    left, right = map(list, zip(*pairs))
+    sides = similarity.Texts.of(left), similarity.Texts.of(right)
+    assert similarity.common_lengths(*sides).tolist() == [similarity._common_length(a, b) for a, b in pairs]
+    assert similarity.token_set_scores(left, right).tolist() == [similarity._score(a, b) for a, b in pairs]
+    assert similarity.token_set_scores([], []).tolist() == []
+
+
+def test_scores_of_missing_names(spark):
+    rows = [("a b", "a c"), (None, "a"), ("a", None), (None, None), ("", "a"), ("a", "a b")]
+    df = spark.createDataFrame(rows, "l string, r string")
+    scores = [r.s for r in df.select(similarity.token_set_score("l", "r").alias("s")).collect()]
+    assert scores[1:4] == [None] * 3 and scores[4:] == [0.0, 1.0]
+    assert scores[0] == similarity._score("a b", "a c")

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starledger.functions import similarity
 from starledger.functions.similarity import _score
+from starledger.operators import candidates, ranking
 from starledger.operators import analysis
 from starledger.operators.candidates import _alike, accepted_pairs, mutual_best, similar_names
 from starledger.operators.contracts import duplicate_keys, validate
@@ -50,6 +52,25 @@ def test_copies_are_numbered(spark):
     assert sorted(r.pos for r in numbered.collect()) == list(range(1, 1001))
 
 
+def test_equal_rows_are_spread_over_cells(spark):
+    """A third of all rows are one row; its copies are numbered in many cells, in no gaps."""
+    rows = spark.range(6000).select(
+        F.lit("g").alias("g"), F.when(F.col("id") < 4000, "copy").otherwise(F.col("id").cast("string")).alias("v"), "id"
+    )
+    rows = rows.withColumn("w", F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("v")))
+    queue = Queue(rows, digest_bucket(F.col("v")), (F.col("v"), F.col("w")), F.col("id"))
+    numbered = with_position(queue, ["g"], "pos")
+    found = sorted((r.pos, r.v, r.w) for r in numbered.collect())
+    assert [f[0] for f in found] == list(range(1, 6001))
+    # Only equal rows may change places.
+    plain = Queue(rows, digest_bucket(F.col("v")), (F.col("v"), F.col("w")))
+    assert found == sorted((r.pos, r.v, r.w) for r in with_position(plain, ["g"], "pos").collect())
+    plan = numbered._jdf.queryExecution().toString()
+    assert "_cell" in plan
+    cells = queue.df.groupBy(F.pmod(F.xxhash64("id"), F.lit(ranking.SALTS))).count().collect()
+    assert max(r["count"] for r in cells) < 2 * 6000 / ranking.SALTS + 60
+
+
 @pytest.mark.parametrize("unique", [True, False])
 def test_pairing_keeps_every_row_once(spark, unique):
     step = 1 if unique else 7
@@ -124,6 +145,79 @@ def test_long_and_edited_names_are_found(spark):
     assert found == {(a, b) for a in pools[0] for b in pools[1] if _score(a, b) > 0.9}
 
 
+def test_short_names_meet_on_what_one_letter_leaves(spark):
+    rng = random.Random(9)
+    letters = "ab1 "
+
+    def names(n):
+        found = set()
+        while len(found) < n:
+            tokens = "".join(rng.choices(letters, k=rng.randint(3, 14))).split()
+            found.add(" ".join(sorted(set(tokens))))
+        return sorted(found - {""})
+
+    pools = names(150), names(150)
+    frames = [spark.createDataFrame([(n,) for n in pool], "name string") for pool in pools]
+    lengths = [sorted({len(n) for n in pool}) for pool in pools]
+    threshold = 0.8
+    met = {(r.l, r.r) for r in candidates._nearly_equal(*frames, lengths, threshold).collect()}
+    wanted = set()
+    for a in pools[0]:
+        for b in pools[1]:
+            drops = candidates._drops(len(a), len(b), threshold)
+            shared = set(a.split()) & set(b.split())
+            rest = [" ".join(sorted(set(x.split()) - shared)) for x in (a, b)]
+            common = similarity._common_length(*rest)
+            if drops and max(drops) <= 1 and sum(map(len, rest)) - 2 * common <= sum(drops):
+                wanted.add((a, b))
+    assert wanted <= met and len(wanted) > 50
+
+
+def test_a_family_of_numbers_gives_few_candidates(spark):
+    frames = [spark.range(a, a + 400).select(F.concat((F.col("id") + 100_000).cast("string"), F.lit(" cosmos")).alias("name")) for a in (0, 200)]
+    lengths = [[13], [13]]
+    pairs = candidates._nearly_equal(*frames, lengths, 0.9)
+    similar = {(r.l, r.r) for r in similar_names(*frames, 0.9).collect()}
+    met = {(r.l, r.r) for r in pairs.collect()}
+    assert met == similar and candidates._most_destroyed(13, [13], 0.9) is None
+
+
+def test_lone_names_pair_within_a_day(spark):
+    day = D(2024, 5, 5)
+    moved = [day, D(2024, 5, 4), D(2024, 5, 6), D(2024, 5, 7), None]
+    left = [(None, f"n{i}", day) for i in range(5)] + [(None, "twice", day)] * 2 + [(None, None, day)]
+    right = [(None, f"n{i}", d) for i, d in enumerate(moved)] + [(None, "twice", D(2024, 5, 6))] * 3 + [(None, None, day)]
+    schema = "id string, name string, day date"
+    sides = [Side(spark.createDataFrame(rows, schema), "id", "name", "day") for rows in (left, right)]
+    rows = match_catalogs(*sides, None).collect()
+    paired = Counter(r.l.name for r in rows if r.match_source == "name_date")
+    assert paired == {"n0": 1, "n1": 1, "n2": 1, "twice": 2}
+    assert len(rows) == len(left) + len(right) - 5
+
+
+def test_precedence_of_three_sources(spark):
+    registry = spark.createDataFrame(
+        [("2024-001A", "a", D(2024, 1, 1), D(2025, 1, 1)), ("2024-002A", "b", D(2024, 1, 1), None), ("2024-003A", "c", D(2024, 1, 1), None)],
+        "`International Designator` string, `Name of Space Object` string, `Date of Launch` date, `Date of Decay` date",
+    )
+    for name in ("State of Registry", "Status", "Registration Documents", "Function"):
+        registry = registry.withColumn(name, F.lit(None).cast("string"))
+    registry = registry.withColumn("UN Registered", F.lit(True))
+    rows = [(i, f"2024-00{i}A", "x") for i in (1, 2, 3, 4)]
+    gp = spark.createDataFrame(rows, "NORAD_CAT_ID long, OBJECT_ID string, OBJECT_NAME string")
+    gp = gp.withColumns({"MEAN_MOTION": F.lit(15.0), "ECCENTRICITY": F.lit(0.0)})
+    satcat = gp.select("NORAD_CAT_ID", "OBJECT_ID", "OBJECT_NAME", F.lit("o").alias("OWNER"), F.lit(D(2024, 1, 1)).alias("LAUNCH_DATE"), F.lit(D(2027, 1, 1)).alias("DECAY_DATE"))
+    tracking = spark.createDataFrame(
+        [(1, D(2026, 1, 1)), (2, D(2026, 2, 1)), (2, D(2026, 1, 1)), (4, D(2026, 4, 1)), (None, D(2020, 1, 1)), (9, None)],
+        "NORAD_CAT_ID long, DECAY_DATE date",
+    )
+    built = build_canonical(registry, gp, satcat, D(2026, 4, 24), None, tracking=tracking).rows.collect()
+    dates = {r.cospar_id: r.date_of_decay for r in built}
+    assert dates == {
+        "2024-001A": D(2025, 1, 1), "2024-002A": D(2026, 1, 1), "2024-003A": D(2027, 1, 1), "2024-004A": D(2026, 4, 1)
+    }
+
+
 def test_unlike_long_names_give_few_candidates(spark):
     rng = random.Random(3)
     vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(2000)]

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starledger.operators.contracts import ContractError, validate
 from starledger.operators.events import append_events, replay, row_events
@@ -15,7 +16,7 @@ from starledger.plans.contracts import GP, REGISTRY, SATCAT
 from starledger.plans.weekly import weekly_ingest
 from starledger.sources import pages as pg
 from starledger.sources import snapshots
-from starledger.sources.catalogs import read_catalog, read_csv_text, unreadable_cells
+from starledger.sources.catalogs import inspect_catalog, read_catalog, read_csv_text, unreadable_cells
 from starledger.sources.landing import freshness, source_status
 from starledger.sources.snapshots import (
     append_changes,
@@ -429,6 +430,24 @@ def test_changelog_is_append_only(spark, tmp_path):
         append_changes(small(spark), D1, str(tmp_path))
 
 
+def test_broken_lines_are_set_aside_with_their_file(spark, tmp_path):
+    schema = T.StructType([T.StructField("A", T.LongType()), T.StructField("B", T.StringType()), T.StructField("D", T.DateType())])
+    (tmp_path / "one.csv").write_text("A,B,D\n1,x,2024-01-01\n2,y\nn,z,2024-13-01\n,,\n")
+    (tmp_path / "two.csv").write_text('A,B,D\n4,"u,v",2024-01-02\n5,w,2024-01-03,more\n')
+    found = inspect_catalog(spark, str(tmp_path), schema)
+    assert {tuple(r) for r in found.rows.collect()} == {
+        (1, "x", dt.date(2024, 1, 1)), (None, None, None), (4, "u,v", dt.date(2024, 1, 2))
+    }
+    aside = {(r.file.rpartition("/")[2], r.problem, r.column_name, r.value) for r in found.quarantine.collect()}
+    assert aside == {
+        ("one.csv", "ragged", None, "2,y"), ("one.csv", "unreadable", "A", "n"),
+        ("one.csv", "unreadable", "D", "2024-13-01"), ("two.csv", "ragged", None, "5,w,2024-01-03,more"),
+    }
+    (tmp_path / "two.csv").write_text("A,B,E\n1,x,2024-01-01\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        inspect_catalog(spark, str(tmp_path), schema).rows.collect()
+
+
 ROWS = "id string, place string, n int"
 
 
