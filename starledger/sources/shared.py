@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,10 +49,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go at its end, not when the driver collects garbage."""
+    before = spark.conf.get(_REMOVE_SHUFFLES, None)
+    if before is None:  # a Spark without the setting
+        yield
+        return
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_REMOVE_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and read it back."""
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     vars(written)[_PLACE] = path
     return written
