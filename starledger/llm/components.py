@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.sources.shared import materialize
+from starledger.sources.shared import discard, materialize
 
 
 def _stars(near: DataFrame, keep) -> DataFrame:
@@ -31,7 +31,8 @@ def components(links: DataFrame) -> DataFrame:
         # The node itself joins its smallest neighbour too.
         small = _stars(large, F.lit(True))
         small = small.select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
-        links = materialize(small.where("a <> b").distinct(), "links")
+        before, links = links, materialize(small.where("a <> b").distinct(), "links")
+        discard(before)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

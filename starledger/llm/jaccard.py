@@ -36,12 +36,14 @@ from pyspark.sql import functions as F
 from starledger.llm.base import binary_array, map_arrow, quoted
 from starledger.llm.components import components
 from starledger.llm.words import WordHasher, Words, mix
-from starledger.sources.shared import materialize
+from starledger.sources.shared import discard, materialize
 
 SHINGLE = 4
 PERCENT = 85
 #: First-level partitions beyond those that the differences may spoil.
 SPARE = 1
+#: Sets of a task that are remembered at once, so that equal ones are posted once.
+SEEN = 1_000_000
 #: Sets of one block when a signature's sets are compared with each other.
 BLOCK = 256
 
@@ -230,10 +232,23 @@ def shingle_sets(rows: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def _signature_rows(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    def build(ids, sets, classes=[]):  # noqa: B006 - one object for the whole task
-        if not classes:
-            classes.append(Classes(percent))
-        row, found = signatures(sets, classes[0])
+    """Signatures of the sets of each task; of equal sets in a task one is enough."""
+
+    def build(ids, sets, state=[]):  # noqa: B006 - one object for the whole task
+        if not state:
+            state += [Classes(percent), set()]
+        classes, seen = state
+        row, found = signatures(sets, classes)
+        keys = zip(*(sets.sums(salt).tolist() for salt in (1, 2)), sets.size.tolist())
+        known = ids.is_valid().to_pylist()
+        fresh = np.zeros(len(ids), bool)
+        for i, (key, there) in enumerate(zip(keys, known)):
+            if there and key not in seen:
+                fresh[i] = True
+                seen.add(key)
+        if len(seen) > SEEN:
+            seen.clear()
+        row, found = row[fresh[row]], found[fresh[row]]
         return [pa.array(found.view(np.int64)), ids.take(pa.array(row))]
 
     return _map_sets(rows, build, "sig long, doc long", size)
@@ -300,7 +315,10 @@ class Join:
         a, b = (sets.select(F.col("doc_id").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab")
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
-        return near.join(a, "a").join(b, "b").where(common * 100 >= union * self.percent).select("a", "b")
+        linked = near.join(a, "a").join(b, "b").where(common * 100 >= union * self.percent)
+        linked = materialize(linked.select("a", "b"), "linked-pairs")
+        discard(near, sets)
+        return linked
 
     def _elements(self, wanted: DataFrame) -> DataFrame:
         """The sets of the wanted documents, read from their texts again."""
@@ -341,18 +359,21 @@ class Join:
         reps = reps.select("sig", "rep").distinct()
         known = labels.select(F.col("id").alias("rep"), "component")
         reps = reps.join(known, "rep", "left")
-        reps = reps.withColumn("component", F.coalesce("component", "rep"))
+        # Written step by step, so that the shuffles of each step go before the next.
+        reps = materialize(reps.withColumn("component", F.coalesce("component", "rep")), "signature-sets")
+        discard(shared)
         groups = reps.groupBy("sig").agg(
             F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
             F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("who"),
         )
         # Groups of the same sets are compared once.
         groups = groups.where("n > 2 and low <> high").groupBy("n", "who").agg(F.min("sig").alias("sig"))
-        rows = reps.join(groups.select("sig", "n"), "sig").join(self.sketches, "rep")
-        place = F.row_number().over(W.partitionBy("sig").orderBy("rep")) - 1
-        n_blocks = F.floor((F.col("n") - 1) / BLOCK).cast("int")
-        rows = rows.withColumn("mine", F.floor(place / BLOCK).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks)))
+        open_ = materialize(reps.join(groups.select("sig", "n"), "sig"), "open-signatures")
+        discard(reps)
+        rows = open_.join(self.sketches, "rep")
+        last = F.floor((F.col("n") - 1) / BLOCK).cast("int")
+        rows = rows.withColumn("mine", F.pmod(F.xxhash64("rep"), last + 1).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         keyed = rows.select(
             "sig", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
             "mine", "rep", "component", "n_shingles", "sketch",
@@ -425,5 +446,5 @@ def jaccard_join(
     documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row."""
-    rows = documents.select(quoted("doc_id").alias("doc_id"), quoted("text").alias("text"))
+    rows = documents.select(quoted("doc_id").cast("long").alias("doc_id"), quoted("text").alias("text"))
     return Join(rows, size, percent).run()
