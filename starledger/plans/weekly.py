@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from starledger.operators.contracts import check_counts, rule_counts
 from starledger.operators.diff import SnapshotDiff, diff_snapshots
@@ -18,7 +18,7 @@ from starledger.operators.expectations import (
     row_warnings,
 )
 from starledger.plans.contracts import DIFF_COLUMNS, REGISTRY
-from starledger.sources.pages import check_completeness, load_registry
+from starledger.sources.pages import check_completeness, checked_counts, load_registry
 from starledger.sources.snapshots import (
     append_changes,
     load_snapshot,
@@ -61,16 +61,16 @@ def weekly_ingest(
 ) -> WeeklyResult:
     """Take one landed load of registry pages into the snapshot store.
 
-    The load is read once: while it is written, the contract's rules and the row checks are
-    counted, and the snapshot is committed only if the contract holds. A broken contract
-    stops the run; expectations, drift checks and row warnings do not. With `changelog_base`
+    The load is read once: while it is written, its records, the contract's rules and the row
+    checks are counted, and the snapshot is committed only if it is complete and the contract
+    holds. An incomplete load, told first, or a broken contract stops the run; expectations, drift checks and row warnings do not. With `changelog_base`
     the changed values are added to a changelog there, with `events_base` the added, changed
     and removed rows to an event log, from which any snapshot can be rebuilt; a date that is
     already in either is refused.
     """
     spark = pages.sparkSession
-    check_completeness(pages)
-    load = load_registry(pages)
+    landed = Observation()
+    load = load_registry(pages, landed)
     day_before = previous_snapshot_date(spark, base, snapshot_date)
     try:
         previous = load_snapshot(spark, day_before, base, REGISTRY.version) if day_before else None
@@ -79,13 +79,18 @@ def weekly_ingest(
     seen: dict[str, int] = {}
 
     def accept(counts: dict) -> None:
+        checked_counts(spark, landed.get)
         check_counts(load, REGISTRY, counts)
         seen.update(counts)
 
     measures = [*rule_counts(load, REGISTRY), *row_measures(load, as_of_year)]
-    path = save_snapshot(
-        load, snapshot_date, base, overwrite, REGISTRY.version, measures, accept
-    )
+    try:
+        path = save_snapshot(
+            load, snapshot_date, base, overwrite, REGISTRY.version, measures, accept
+        )
+    except Exception:
+        check_completeness(pages)  # says so where a load that fails is incomplete as well
+        raise
     current = load_snapshot(spark, snapshot_date, base, REGISTRY.version)
     previous_rows = previous.count() if previous is not None else None
     report = check_expectations(current, previous_rows, as_of_year, measured=seen)

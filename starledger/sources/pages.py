@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,25 +79,23 @@ def _parsed(pages: DataFrame) -> DataFrame:
     wrapped = F.try_parse_json(F.concat(F.lit("["), "page", F.lit(f',"{_END}"]')))
     parts = pages.select("page", F.try_variant_get(wrapped, "$", "array<variant>").alias("_parts"))
     whole = (F.size("_parts") == 2) & (F.try_variant_get(F.get("_parts", F.lit(1)), "$", "string") == _END)
-    return parts.select("page", F.when(whole, F.get("_parts", F.lit(0))).alias("_body")).withColumn(
-        "_kind", F.schema_of_variant(F.try_variant_get("_body", "$.results", "variant"))
-    )
+    bodies = parts.select("page", F.when(whole, F.get("_parts", F.lit(0))).alias("_body"))
+    return bodies.withColumn("_results", F.try_variant_get("_body", "$.results", "array<variant>"))
+
+
+def _is_object(value: Column) -> Column:
+    # A schema would be put together from all that the value holds.
+    return value.try_cast("map<string,variant>").isNotNull()
 
 
 def _fault() -> Column:
-    kind = F.col("_kind")
-    body_kind = F.schema_of_variant("_body")
+    results = F.col("_results")
+    given = F.try_variant_get("_body", "$.results", "variant").isNotNull()
     return (
         F.when(F.col("_body").isNull(), "not JSON")
-        .when(~body_kind.startswith("OBJECT"), "not an object")
-        .when(kind.isNotNull() & ~kind.startswith("ARRAY"), "results is not a list")
-        .when(
-            F.exists(
-                F.try_variant_get("_body", "$.results", "array<variant>"),
-                lambda r: ~F.coalesce(F.schema_of_variant(r).startswith("OBJECT"), F.lit(False)),
-            ),
-            "a record is not an object",
-        )
+        .when(~_is_object(F.col("_body")), "not an object")
+        .when(given & results.isNull(), "results is not a list")
+        .when(F.exists(results, lambda r: ~_is_object(r)), "a record is not an object")
     )
 
 
@@ -123,18 +121,22 @@ def _documents_field(values: Column) -> Column:
     return join_documents(texts)
 
 
-def page_records(pages: DataFrame) -> DataFrame:
+def page_records(pages: DataFrame, seen: Observation | None = None) -> DataFrame:
     """One row of raw text per record, columns in registry order, missing values ''.
 
-    A page with a fault fails the job; look at `bad_pages` for the list.
+    A page with a fault fails the job; look at `bad_pages` for the list. With `seen`, what
+    `checked_counts` needs is counted as the pages pass by.
     """
     fault = _fault()
-    checked = _parsed(pages).select(
+    parsed = _parsed(pages)
+    if seen is not None:
+        parsed = parsed.observe(seen, *_page_counts())
+    checked = parsed.select(
         F.when(
             fault.isNotNull(),
             F.raise_error(F.concat(F.lit("unusable page: "), fault)).try_cast("array<variant>"),
         )
-        .otherwise(F.try_variant_get("_body", "$.results", "array<variant>"))
+        .otherwise(F.col("_results"))
         .alias("_results")
     )
     # The outer form keeps Spark from repeating the whole parse in an inferred filter.
@@ -165,9 +167,9 @@ def type_records(records: DataFrame) -> DataFrame:
     return stripped.select(*[typed(f).alias(f.name) for f in REGISTRY_SCHEMA])
 
 
-def load_registry(pages: DataFrame) -> DataFrame:
+def load_registry(pages: DataFrame, seen: Observation | None = None) -> DataFrame:
     """Landed pages as the typed registry frame; no records give an empty frame."""
-    return type_records(page_records(pages))
+    return type_records(page_records(pages, seen))
 
 
 @dataclass(frozen=True)
@@ -185,13 +187,21 @@ def completeness(pages: DataFrame, page_size: int | None = None) -> DataFrame:
 
     `page_size` is the slack allowed above the total; the largest page when not given.
     """
+    return _with_problem(_parsed(pages).agg(*_page_counts()), page_size)
+
+
+def _page_counts() -> list[Column]:
+    """Announced total, records found and the largest page, as aggregates of parsed pages."""
     total = F.coalesce(*[F.try_variant_get("_body", p, "bigint") for p in TOTAL_PATHS])
-    size = F.coalesce(F.size(F.try_variant_get("_body", "$.results", "array<variant>")), F.lit(0))
-    counted = _parsed(pages).agg(
+    size = F.coalesce(F.size("_results"), F.lit(0))
+    return [
         F.max(total).alias("expected"),
         F.coalesce(F.sum(F.greatest(size, F.lit(0))), F.lit(0)).cast("bigint").alias("records"),
         F.coalesce(F.max(size), F.lit(0)).cast("bigint").alias("largest_page"),
-    )
+    ]
+
+
+def _with_problem(counted: DataFrame, page_size: int | None) -> DataFrame:
     slack = F.col("largest_page") if page_size is None else F.lit(page_size)
     problem = (
         F.when(F.col("expected").isNull(), "no total announced")
@@ -204,7 +214,17 @@ def completeness(pages: DataFrame, page_size: int | None = None) -> DataFrame:
 
 def check_completeness(pages: DataFrame, page_size: int | None = None) -> Completeness:
     """Run `completeness` and raise when the load cannot be trusted."""
-    row = completeness(pages, page_size).first()
+    return _checked(completeness(pages, page_size))
+
+
+def checked_counts(spark: SparkSession, counts: dict, page_size: int | None = None) -> Completeness:
+    """`check_completeness` with what `page_records` counted."""
+    counted = spark.createDataFrame([counts], "expected long, records long, largest_page long")
+    return _checked(_with_problem(counted, page_size))
+
+
+def _checked(found: DataFrame) -> Completeness:
+    row = found.first()
     result = Completeness(row["expected"], row["records"], row["largest_page"], row["problem"])
     if result.problem:
         raise ValueError(f"incomplete load: {result.problem} ({result})")

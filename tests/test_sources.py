@@ -565,3 +565,23 @@ def test_landed_pages_are_taken_once(spark, tmp_path):
     land("3.json")
     assert take_landed_pages(spark, str(landing), state, take) == "fresh_snapshot"
     assert seen == [2, 1]
+
+
+def test_weekly_run_reads_a_load_once(spark, tmp_path):
+    """Records are counted while the snapshot is written; an incomplete load is told first all the same."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    base = str(tmp_path)
+    pages = weekly_pages(spark, ["a", "b"])
+    weekly_ingest(pages.mapInArrow(counted, pages.schema), D1, base, as_of_year=2026)
+    assert read.value == 1
+    with pytest.raises(ValueError, match="incomplete load: more records than announced"):
+        weekly_ingest(page_frame(spark, *[{"found": 1, "results": [record(), record()]}] * 2), D2, base)
+    with pytest.raises(ValueError, match="incomplete load: no total announced"):
+        weekly_ingest(page_frame(spark, "{x"), D1, base)
+    assert list_snapshot_dates(spark, base) == [D1]
