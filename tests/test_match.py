@@ -29,6 +29,7 @@ from starledger.plans.canonical import (
     publish_canonical,
 )
 from starledger.plans.contracts import CANONICAL, GP, REGISTRY, SATCAT
+from starledger.sources.shared import materialize
 from starledger.sources.snapshots import load_snapshot
 
 D = dt.date
@@ -461,3 +462,26 @@ def test_registration_reports(spark):
     assert [r[0] for r in lag] == [
         (D(1980, 1, 11) - d).days if d else None for d, _ in rows
     ]
+
+
+def test_keys_that_do_not_repeat_meet_in_one_plain_join(spark):
+    """No positions are looked for where no group repeats, and known groups are found once."""
+    left, right = (spark.range(n).select(F.col("id").alias("k"), F.struct("id").alias(side)) for n, side in ((40, "l"), (60, "r")))
+    queues = [Queue(df, F.lit(""), (F.col(f"{side}.id"),)) for df, side in ((left, "l"), (right, "r"))]
+    paired = pair_by_position(*queues, ["k"])
+    plan = paired._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") == 1
+    assert paired.count() == 60 and paired.where("l is not null and r is not null").count() == 40
+
+
+def test_growing_tables_of_names_are_not_broadcast(spark):
+    """As files they are small, as rows in the driver they are not."""
+    names = [spark.createDataFrame([(f"cosmos {i:05d}{x}",) for i in range(60)], "name string") for x in ("", "0")]
+    pairs = materialize(similar_names(*[materialize(n, "n") for n in names], 0.85), "p")
+    assert pairs.count() > 0
+    best = mutual_best(pairs)
+    assert "Broadcast" not in best._jdf.queryExecution().executedPlan().toString()
+    parts = [candidates._mostly_shared(*names, candidates._part_counts(*names, F.split("name", " ")), 0.85), candidates._nearly_equal(*names, ([12], [13]), 0.85)]
+    parts.append(_alike(*names, ([12], [13]), 0.85))
+    for df in parts:
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
