@@ -12,7 +12,7 @@ from starledger.functions import similarity
 from starledger.functions.similarity import _score
 from starledger.operators import candidates, ranking
 from starledger.operators import analysis
-from starledger.operators.candidates import _alike, accepted_pairs, mutual_best, similar_names
+from starledger.operators.candidates import _alike, accepted_pairs, best_pairs, mutual_best, similar_names
 from starledger.operators.contracts import duplicate_keys, validate
 from starledger.operators.match import (
     Side,
@@ -183,6 +183,89 @@ def test_a_family_of_numbers_gives_few_candidates(spark):
     assert met == similar and candidates._most_destroyed(13, [13], 0.9) is None
 
 
+def test_two_dropped_letters_of_short_names(spark):
+    """Letters, spaces and whole one-letter tokens, in any order, and between tokens both sides have."""
+    rng = random.Random(17)
+    pools = [set(), set()]
+    for _ in range(120):
+        tokens = ["".join(rng.choices("abc1", k=rng.randint(1, 5))) for _ in range(rng.randint(2, 4))]
+        name = " ".join(sorted(set(tokens)))
+        short = list(name)
+        for _ in range(2):
+            del short[rng.randrange(len(short))]
+        for pool, text in zip(pools, (name, "".join(short)) if rng.random() < 0.5 else ("".join(short), name)):
+            pool.add(" ".join(sorted(set(text.split()))))
+    pools = [sorted(pool - {""}) for pool in pools]
+    frames = [spark.createDataFrame([(n,) for n in pool], "name string") for pool in pools]
+    lengths = [sorted({len(n) for n in pool}) for pool in pools]
+    threshold = 0.85
+    met = {(r.l, r.r) for r in candidates._nearly_equal(*frames, lengths, threshold).collect()}
+    wanted = set()
+    for a in pools[0]:
+        for b in pools[1]:
+            drops = candidates._drops(len(a), len(b), threshold)
+            shared = set(a.split()) & set(b.split())
+            rest = [" ".join(sorted(set(x.split()) - shared)) for x in (a, b)]
+            left = [len(x) - similarity._common_length(*rest) for x in rest]
+            if drops and all(rest) and sorted(drops) == [0, 2] and left == list(drops):
+                wanted.add((a, b))
+    assert wanted <= met and len(wanted) > 30
+
+
+def test_names_of_few_drops_meet_on_no_letter_pairs(spark):
+    """Numbers of one family: two letters less on one side took a search by letter pairs."""
+    frames = [
+        spark.range(a, b).select(F.concat(F.col("id").cast("string"), F.lit(" cosmos")).alias("name"))
+        for a, b in ((1000, 1200), (100_000, 100_200))
+    ]
+    lengths = [[11], [13]]
+    assert candidates._most_destroyed(11, [13], 0.9) is None
+    assert _alike(*frames, lengths, 0.9).count() == 0
+    assert {tuple(r)[:2] for r in similar_names(*frames, 0.9).collect()} == {
+        (f"{a} cosmos", f"{b} cosmos")
+        for a in range(1000, 1200) for b in range(100_000, 100_200)
+        if _score(f"{a} cosmos", f"{b} cosmos") > 0.9
+    }
+
+
+def test_a_pair_of_names_is_scored_once(spark, tmp_path):
+    """However often it met: the filter on the score stays above the distinct pairs."""
+    names = [materialize(spark.createDataFrame([(n,) for n in name_pool(s, 40)], "name string"), "n") for s in (1, 2)]
+    plan = similar_names(*names, 0.75)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.index("ArrowEvalPython") < plan.index("Aggregate")
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.75])
+def test_best_pairs_are_those_of_all_pairs(spark, threshold):
+    left, right = name_pool(3, 120), name_pool(4, 120)
+    names = [materialize(spark.createDataFrame([(n,) for n in pool], "name string"), "n") for pool in (left, right)]
+    best = {tuple(r) for r in best_pairs(*names, threshold).collect()}
+    assert best == {tuple(r) for r in accepted_pairs(similar_names(*names, threshold)).collect()}
+    scores = [s for *_, s in best]
+    assert min(scores) <= (1 + threshold) / 2 < max(scores)
+    assert best_pairs(names[0].limit(0), names[1], threshold).collect() == []
+
+
+def test_names_of_near_pairs_meet_no_distant_ones(spark, monkeypatch):
+    """Of a family in which each name has a near partner, no pair of two numbers is built."""
+    frames = [
+        materialize(spark.range(300).select(F.concat((F.col("id") + 100_000).cast("string"), F.lit(word)).alias("name")), "n")
+        for word in (" cosmos", " cosmoss")
+    ]
+    built, scored = [], candidates.token_set_score
+    find = candidates.similar_names
+
+    def counted(*args):
+        pairs = materialize(find(*args), "pairs")
+        built.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(candidates, "similar_names", counted)
+    assert best_pairs(*frames, 0.85).count() == 300 and built == [300, 0]
+    assert find(*frames, 0.85).count() > 3000 and scored is candidates.token_set_score
+
+
 def test_lone_names_pair_within_a_day(spark):
     day = D(2024, 5, 5)
     moved = [day, D(2024, 5, 4), D(2024, 5, 6), D(2024, 5, 7), None]
