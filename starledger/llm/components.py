@@ -1,7 +1,8 @@
 """Connected components of a link table, by alternating large-star and small-star steps.
 
 Each step is a grouped minimum and a join on one end of the links. A step's result is a
-written table in the shared folder, so neither lineage nor memory grows with the rounds.
+written table in the shared folder, so neither lineage nor memory grows with the rounds; no
+table of links is broadcast, however small its file.
 The links end as stars around the smallest id of each component.
 """
 
@@ -16,7 +17,7 @@ from starledger.sources.shared import discard, materialize
 def _stars(near: DataFrame, keep) -> DataFrame:
     """Every kept neighbour of a node is tied to the node's smallest neighbour or itself."""
     least = near.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
-    return near.where(keep).join(least, "a")
+    return near.where(keep).join(least.hint("merge"), "a")
 
 
 def components(links: DataFrame) -> DataFrame:

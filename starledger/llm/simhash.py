@@ -17,6 +17,10 @@ signature still holds several components, their fingerprints are compared block
 and one link is kept for each pair of components. So no list of all pairs of a group is
 ever written, and groups of any size are split.
 
+Tables that grow with the documents are joined by shuffles (hint `merge`): a file of
+fingerprints is small, but Spark sizes its 64 signatures a row as if they were one, and would
+broadcast them all.
+
 Null and empty texts, and those without words, have the fingerprint zero and link like any
 other. Rows with one doc_id count as one document; rows without doc_id link with nothing
 (component null). Other columns, whatever their names, are not looked at.
@@ -193,7 +197,7 @@ def _shared(distinct: DataFrame, distance: int) -> DataFrame:
     )
     settled = (F.col("n") <= 3) & ~_linked("low", distance) & ~_linked("high", distance)
     met = (F.col("sig") == F.col("of")) & ~settled
-    shared = posted.join(ends.where("low <> high"), met).drop("of")
+    shared = posted.join(ends.where("low <> high").hint("merge"), met).drop("of")
     return materialize(shared, "shared-signatures")
 
 
@@ -211,10 +215,10 @@ def _stars(shared: DataFrame, distance: int) -> DataFrame:
 def _across(shared: DataFrame, labels: DataFrame, distance: int) -> DataFrame:
     """Pairs a, b of components that a link joins, found in signatures that hold several."""
     rows = shared.where("n > 3").select("sig", "print", "n")
-    rows = rows.join(labels.select(F.col("id").alias("print"), "component"), "print", "left")
+    rows = rows.join(labels.select(F.col("id").alias("print"), "component").hint("merge"), "print", "left")
     rows = materialize(rows.withColumn("component", F.coalesce("component", "print")), "open-signatures")
     open_ = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(open_.where("low <> high").select("sig"), "sig", "left_semi")
+    rows = rows.join(open_.where("low <> high").select("sig").hint("merge"), "sig", "left_semi")
     n_blocks = F.ceil(F.col("n") / BLOCK)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("print"), n_blocks))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)))
@@ -271,16 +275,16 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, distance: int = DIST
     across = _across(shared, labels, distance)
     joined = labels.limit(0) if across.isEmpty() else components(across)
     whole = joined.select(F.col("id").alias("component"), F.col("component").alias("whole"))
-    merged = labels.join(whole, "component", "left")
+    merged = labels.join(whole.hint("merge"), "component", "left")
     first = merged.select(F.col("id").alias("print"), F.coalesce("whole", "component").alias("component"))
     # Components that had no link yet but got one now stand for themselves.
-    own = joined.join(labels.select("id"), "id", "left_anti")
+    own = joined.join(labels.select("id").hint("merge"), "id", "left_anti")
     first = first.unionByName(own.select(F.col("id").alias("print"), "component"))
-    placed = distinct.join(first, "print", "left").withColumn("component", F.coalesce("component", "print"))
+    placed = distinct.join(first.hint("merge"), "print", "left").withColumn("component", F.coalesce("component", "print"))
     placed = materialize(placed, "placed-prints")
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    placed = placed.join(least, "component").select("print", "component_id")
-    out = prints.join(placed, "print", "left")
+    placed = placed.join(least.hint("merge"), "component").select("print", "component_id")
+    out = prints.join(placed.hint("merge"), "print", "left")
     return out.select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -291,5 +295,5 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, distance: int = DIST
 def _same_id(known: DataFrame) -> DataFrame:
     """Links between the fingerprints of rows with one doc_id."""
     first = known.groupBy("doc_id").agg(F.min("print").alias("a"), F.max("print").alias("b"))
-    several = first.where("a <> b").select("doc_id", "a").join(known, "doc_id")
+    several = first.where("a <> b").select("doc_id", "a").join(known.hint("merge"), "doc_id")
     return several.select("a", F.col("print").alias("b")).where("a <> b").distinct()

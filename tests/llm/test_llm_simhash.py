@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from starledger.llm import queries, simhash
+from starledger.llm import components, queries, simhash
 
 xxhash = pytest.importorskip("xxhash")
 
@@ -141,6 +141,23 @@ def test_one_link_for_two_components():
     assert pairs.to_pylist() == [{"a": 7, "b": 9}]
 
 
+def test_no_table_that_grows_with_the_documents_is_broadcast(spark, monkeypatch):
+    """A file of fingerprints is sized far below its 64 signatures a row."""
+    plans, write = [], simhash.materialize
+
+    def noted(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, label)
+
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "materialize", noted)
+    rows = [(i % 70, text) for i, text in enumerate(corpus(5, 30))]
+    out = simhash.near_duplicates(spark.createDataFrame(rows, DOCS))
+    plans.append(("result", out._jdf.queryExecution().executedPlan().toString()))
+    assert {"shared-signatures", "links", "placed-prints"} <= {label for label, _ in plans}
+    assert [label for label, plan in plans if "Broadcast" in plan] == []
+
+
 def test_query_against_the_plain_version(spark):
     sf = "/root/testdata/sf0.001"
     found = queries.QUERIES["op13_simhash"](spark, sf).collect()
