@@ -19,6 +19,8 @@ LEAST_FIT = 0.2
 #: Near copies share this percentage of their sequences of so many words.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 TOKENIZER = "byte_bpe_50k.json"
+#: Cells of ids in a broadcast, at most.
+CELLS = 1 << 20
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,22 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that hold no benchmark item."""
     leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
     leaks = materialize(leaks.select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    return _without_ids(docs, leaks)
+
+
+def _without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not in `ids`, few of all as a rule.
+
+    Ids are dealt to CELLS cells by a hash. Texts of cells without such an id, most of them,
+    stay where they are, however many ids there are; only the others are shuffled to be
+    compared. Rows without id all stay.
+    """
+    cell = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(CELLS)).cast("int")
+    taken = F.broadcast(ids.select(cell.alias("_cell")).distinct())
+    met = cell == F.col("_cell")
+    apart = docs.join(taken, met, "left_anti")
+    near = docs.join(taken, met, "left_semi").join(ids, "doc_id", "left_anti")
+    return apart.select(docs.columns).unionByName(near.select(docs.columns))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -581,3 +581,20 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
         if table is docs:
             assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1]
         corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path)).count()
+
+
+@pytest.mark.parametrize("cells", [1, 3, 1 << 20])
+def test_texts_of_other_cells_are_not_shuffled(spark, monkeypatch, cells):
+    """Rows go by their id, whatever shares a cell; repeated and missing ids too."""
+    monkeypatch.setattr(corpus_pipeline, "CELLS", cells)
+    rows = [(i % 40, f"text {i}", i) for i in range(60)] + [(None, "no id", 60)]
+    ids = spark.createDataFrame([(3,), (25,), (99,), (None,)], "doc_id long")
+    for kind in ("long", "int"):
+        docs = spark.createDataFrame(rows, f"doc_id {kind}, text string, n int")
+        out = corpus_pipeline._without_ids(docs, ids)
+        assert out.columns == docs.columns
+        assert sorted(map(tuple, out.collect()), key=str) == sorted((r for r in rows if r[0] not in (3, 25)), key=str)
+    # The first part of the union has all rows of other cells, and no shuffle of them.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    first = plan[: plan.index("LeftSemi")]
+    assert "BroadcastHashJoin" in first and "hashpartitioning(doc_id" not in first
